@@ -27,7 +27,7 @@ from curbline.sources.streets import lightest_edges
 
 PAIR = ("city_bfs_id", "mode", "origin", "destination")
 # Expansion rounds per job, and pointer doublings before paths are followed.
-ROUNDS_PER_JOB = 8
+ROUNDS_PER_JOB = 6
 DOUBLINGS = 3
 MAX_ROUNDS = 20000
 # A broadcast edge takes about this many bytes in a hash relation.

@@ -16,11 +16,15 @@ def tune(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # Joins whose partitions all turn out small skip the sort; others still sort and merge.
+    spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
     return spark
 
 
 def build_session(name: str = "curbline", master: str | None = None, **conf: str) -> SparkSession:
-    builder = SparkSession.builder.appName(name).config("spark.sql.session.timeZone", "UTC")
+    # The route search generates more classes than the default code cache keeps.
+    builder = (SparkSession.builder.appName(name).config("spark.sql.session.timeZone", "UTC")
+               .config("spark.sql.codegen.cache.maxEntries", "2000"))
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
