@@ -16,10 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbline.functions.geo import great_circle, lv03
-from curbline.session import stage
+from curbline.session import broadcast_if_small, stage
 from curbline.sources.streets import MODES
 
 CELL_M = 500.0
+# A broadcast node takes about this many bytes in a hash relation.
+NODE_BYTES = 120
 # Wider than the diagonal of any region, so the last grid leaves nothing out.
 WIDEST_CELL_M = 64000.0
 # Great-circle and LV03 lengths differ by less than this factor inside a region.
@@ -45,7 +47,7 @@ def _snap(points: DataFrame, nodes: DataFrame, key: Sequence[str], modes: Sequen
     """Best node per mode among the surrounding cells; null where they hold none."""
     payload = [c for c in points.columns if c not in key]
     placed = points.select("*", *_cell(F.col("x"), F.col("y"), width))
-    near = placed.join(_published(nodes, width), ["city_bfs_id", "cx", "cy"], "left")
+    near = placed.join(broadcast_if_small(_published(nodes, width), NODE_BYTES), ["city_bfs_id", "cx", "cy"], "left")
     ranked = F.struct(great_circle(F.col("lon"), F.col("lat"), F.col("node_lon"), F.col("node_lat")).alias("m"),
                       "node_id")
     best = [F.min(F.when(F.col("mode") == m, ranked)).alias(f"best_{m}") for m in modes]

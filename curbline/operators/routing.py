@@ -4,7 +4,7 @@ The search is one label per (region, mode, origin, node), shared by all destinat
 an origin, so its size is bounded by the street graph and not by the number of trips.
 Labels are partitioned by origin, and every round expands the labels improved last:
 
-* an edge table below the broadcast limit (checked by its written size) joins without a
+* an edge table below the broadcast limit (checked by its row count) joins without a
   shuffle, so several rounds run inside one stage;
 * beyond the limit the same rounds join by node with an ordinary shuffle.
 
@@ -22,7 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from curbline.functions.geo import line_length, line_or_null, point
-from curbline.session import stage
+from curbline.session import broadcast_if_small, stage
 from curbline.sources.streets import lightest_edges
 
 PAIR = ("city_bfs_id", "mode", "origin", "destination")
@@ -32,7 +32,6 @@ DOUBLINGS = 3
 MAX_ROUNDS = 20000
 # A broadcast edge takes about this many bytes in a hash relation.
 EDGE_BYTES = 80
-BROADCAST_LIMIT_BYTES = 64 << 20
 
 INFINITE = float("inf")
 
@@ -61,15 +60,11 @@ class _Network:
         self.pairs = stage(_keyed(_keyed(pairs, keys, "origin", "o"), keys, "destination", "d"), "pairs")
         self.edges = stage(_keyed(_keyed(edges, keys, "u", "s"), keys, "v", "t").select("s", "t", "length_m"), "edges")
         # Edges plus a zero-length step from every node to itself, which keeps its label.
-        self.expansion = self._joinable(self.edges.unionByName(
-            keys.select(F.col("key").alias("s"), F.col("key").alias("t"), F.lit(0.0).alias("length_m"))))
-        self.edges = self._joinable(self.edges)
+        self.expansion = broadcast_if_small(self.edges.unionByName(
+            keys.select(F.col("key").alias("s"), F.col("key").alias("t"), F.lit(0.0).alias("length_m"))), EDGE_BYTES)
+        self.edges = broadcast_if_small(self.edges, EDGE_BYTES)
         self.width = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    @staticmethod
-    def _joinable(edges: DataFrame) -> DataFrame:
-        return F.broadcast(edges) if edges.count() * EDGE_BYTES <= BROADCAST_LIMIT_BYTES else edges
-
 
 def _round(labels: DataFrame, expansion: DataFrame) -> DataFrame:
     """Expand the open labels by one edge and keep the best label per node."""

@@ -22,8 +22,9 @@ from curbline.functions.timing import ts
 from curbline.regions import MOVE_THRESHOLD_M
 
 VEHICLE = ("city_bfs_id", "id")
-# Six hours: 180 collection ticks, and at most 21,600 distinct epoch seconds.
-SLICE_SECONDS = 21600
+# One hour: 30 collection ticks, and at most 3,600 distinct refresh times, which are epoch
+# seconds.
+SLICE_SECONDS = 3600
 
 
 def time_slice(column: Column, seconds: int = SLICE_SECONDS) -> Column:

@@ -5,14 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curbline.session import broadcast_if_small
 from curbline.sources.feeds import VEHICLE_TYPE, offers
 
-# A provider feed is one API answer; beyond this many rows it is joined like any table.
-BROADCAST_PROVIDERS = 10_000
-
-
-def _small(feed: DataFrame) -> DataFrame:
-    return F.broadcast(feed) if feed.limit(BROADCAST_PROVIDERS + 1).count() <= BROADCAST_PROVIDERS else feed
+# A broadcast provider takes about this many bytes in a hash relation.
+PROVIDER_BYTES = 200
 
 
 def enrich(pages: DataFrame, feed: DataFrame, run_time: Column, vehicle_type: str = VEHICLE_TYPE) -> DataFrame:
@@ -20,8 +17,8 @@ def enrich(pages: DataFrame, feed: DataFrame, run_time: Column, vehicle_type: st
 
     A vehicle whose provider is not in the feed at all fails the job.
     """
-    known = _small(feed.select(F.col("provider_id").alias("_provider"), offers(F.col("vehicle_type"), vehicle_type)
-                               .alias("_offers"), F.col("last_updated").alias("_refreshed")))
+    known = broadcast_if_small(feed.select(F.col("provider_id").alias("_provider"), offers(F.col("vehicle_type"), vehicle_type)
+                               .alias("_offers"), F.col("last_updated").alias("_refreshed")), PROVIDER_BYTES)
     provider = F.col("properties.provider.id")
     missing = F.raise_error(F.concat(F.lit("provider not in feed: "), F.coalesce(provider, F.lit("null"))))
     joined = pages.join(known, provider == F.col("_provider"), "left")

@@ -14,7 +14,7 @@ from curbline.functions.timing import Interval, as_utc
 from curbline.operators import marts, merge, quality, stats
 from curbline.operators.paths import build_paths
 from curbline.regions import REGIONS, Region
-from curbline.session import stage, tune
+from curbline.session import scratch_run, stage, tune
 from curbline.sources import observations as scans
 from curbline.sources.streets import clip_edges, clip_nodes
 from curbline.sources.warehouse import Warehouse
@@ -49,10 +49,15 @@ class Job:
 
     def run(self, interval: Interval) -> dict[str, str]:
         """Three ETLs, the row assertion, four marts. Steps without input are skipped."""
-        tune(self.targets[0].spark)
+        spark = tune(self.targets[0].spark)
         self.status = {}
         for target in self.targets:
             target.create()
+        with scratch_run(spark):
+            self._steps(interval)
+        return self.status
+
+    def _steps(self, interval: Interval) -> None:
         self._step("path", lambda: self._paths(interval))
         self._step("provider_stats", lambda: self._provider_stats(interval))
         self._step("ids", lambda: self._registry(interval))
@@ -65,7 +70,6 @@ class Job:
             schema.MART_VEHICLE_AGE, marts.vehicle_age(path, interval)))
         self._step("mart_trip_distance", lambda: self._write(
             schema.MART_TRIP_DISTANCE, marts.one_row_per_trip(marts.trip_distance(path, interval))))
-        return self.status
 
     def _paths(self, interval: Interval) -> None:
         points = scans.scan_points(self.observations, interval, self.regions)

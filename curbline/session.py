@@ -4,11 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _LOCAL_SCRATCH: dict[str, str] = {}
+_RUN: ContextVar[str] = ContextVar("curbline_run", default="shared")
+
+# Largest estimated size of a table that is sent to every executor.
+BROADCAST_LIMIT_BYTES = 256 << 20
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -46,7 +54,32 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/curbline/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/curbline/{_RUN.get()}/{label}-{uuid.uuid4().hex}"
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and the file system it lives on."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[None]:
+    """Stages written inside belong to one run and are removed when it has succeeded."""
+    name = f"run-{uuid.uuid4().hex}"
+    token = _RUN.set(name)
+    try:
+        yield
+    finally:
+        _RUN.reset(token)
+    folder, files = hadoop_path(spark, f"{scratch_root(spark)}/curbline/{name}")
+    files.delete(folder, True)
+
+
+def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int | None = None) -> DataFrame:
+    """Hint a broadcast when the counted rows fit the limit; beyond it the join shuffles."""
+    allowed = BROADCAST_LIMIT_BYTES if limit is None else limit
+    return F.broadcast(df) if df.count() * row_bytes <= allowed else df
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from curbline.functions.timing import Interval, ts
 from curbline.operators import merge
 from curbline.schema import TABLES, Table
-from curbline.session import scratch_path, stage
+from curbline.session import hadoop_path, scratch_path, stage
 
 LOG_DDL = "step string, start timestamp, end timestamp, batch bigint, state string, staged string"
 Combine = Callable[[DataFrame, DataFrame], DataFrame]
@@ -31,8 +31,8 @@ class Warehouse:
         return f"{self.root}/{table.name}"
 
     def _exists(self, path: str) -> bool:
-        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target)
+        target, files = hadoop_path(self.spark, path)
+        return files.exists(target)
 
     def create(self, *tables: Table) -> None:
         """Create the tables that do not exist yet, empty and with their declared schema."""
@@ -96,8 +96,8 @@ class Warehouse:
         left = {r[0] for r in kept.select(name).distinct().collect()}
         self._overwrite(table, kept)
         for value in set(touched) - left:
-            folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}/{name}={value}")
-            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+            folder, files = hadoop_path(self.spark, f"{self.path(table)}/{name}={value}")
+            files.delete(folder, True)
 
     # Merges that add up must not run twice. The merged partitions are staged and logged
     # before they are moved in, and logged again afterwards; a repeat after a crash moves

@@ -12,6 +12,7 @@ from curbline import schema
 from curbline.operators import merge, stats
 from curbline.plans.collect import enrich
 from curbline.regions import REGIONS, Region
+from curbline.session import scratch_run
 from curbline.sources.feeds import stream_pages
 from curbline.sources.observations import scan_sightings, scan_status
 from curbline.sources.warehouse import Warehouse, with_scan_columns
@@ -62,10 +63,9 @@ def registry(observations: DataFrame, target: Warehouse, checkpoint: str, name:
 
     def apply(batch: DataFrame, number: int) -> None:
         warehouse = Warehouse(batch.sparkSession, target.root)
-        if warehouse.applied(name, batch=number):
-            return
         rows = stats.one_row_per_vehicle(stats.registry(scan_sightings(batch, None, regions)))
-        warehouse.upsert_once(schema.IDS, rows, merge.accumulate, name, batch=number)
+        with scratch_run(batch.sparkSession):
+            warehouse.upsert_once(schema.IDS, rows, merge.accumulate, name, batch=number)
 
     writer = observations.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

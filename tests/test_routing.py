@@ -6,6 +6,7 @@ import random
 import pytest
 
 import curbline.operators.routing as routing
+import curbline.session as session
 from curbline.operators.nearest import nearest_nodes
 from curbline.operators.stays import with_lv03
 
@@ -33,9 +34,9 @@ def random_graph(seed, nodes=60, edges=150):
     return ring + [(pick.randrange(nodes), pick.randrange(nodes), pick.uniform(1, 50)) for _ in range(edges - len(ring))]
 
 
-@pytest.mark.parametrize("limit", [routing.BROADCAST_LIMIT_BYTES, -1])
+@pytest.mark.parametrize("limit", [session.BROADCAST_LIMIT_BYTES, -1])
 def test_random_graphs(spark, monkeypatch, limit):
-    monkeypatch.setattr(routing, "BROADCAST_LIMIT_BYTES", limit)
+    monkeypatch.setattr(session, "BROADCAST_LIMIT_BYTES", limit)
     graphs = {"walk": random_graph(1), "bike": random_graph(2, edges=80)}
     edges = spark.createDataFrame([(1, m, *e) for m, g in graphs.items() for e in g], EDGES)
     pick = random.Random(3)
