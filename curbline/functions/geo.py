@@ -83,7 +83,12 @@ def line_length(points: Column) -> Column:
     """Length in LV03 metres of a line given in degrees; null for a null line."""
     planar = F.transform(points, lambda v: F.struct(*[
         c.alias(n) for c, n in zip(lv03(v["x"], v["y"]), ("x", "y"))]))
-    heads = F.slice(planar, F.lit(1), F.size(planar) - 1)
-    tails = F.slice(planar, F.lit(2), F.size(planar) - 1)
-    steps = F.zip_with(heads, tails, lambda a, b: planar_distance(a["x"], a["y"], b["x"], b["y"]))
-    return F.when(F.size(points) >= 2, F.aggregate(steps, F.lit(0.0), lambda acc, s: acc + s))
+    nowhere = F.lit(None).cast("double")
+    start = F.struct(nowhere.alias("x"), nowhere.alias("y"), nowhere.alias("m"), F.lit(0).alias("n"))
+    # The first vertex starts the sum; from then on a missing coordinate makes it null.
+    walked = F.aggregate(planar, start, lambda at, v: F.struct(
+        v["x"].alias("x"), v["y"].alias("y"),
+        F.when(at["n"] == 0, F.lit(0.0))
+        .otherwise(at["m"] + planar_distance(at["x"], at["y"], v["x"], v["y"])).alias("m"),
+        (at["n"] + 1).alias("n")), lambda at: at["m"])
+    return F.when(F.size(points) >= 2, walked)

@@ -67,31 +67,28 @@ def steps(points: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
             .drop("slice", "before", "carried"))
 
 
-def _pieces(points: DataFrame, threshold_m: float, slice_seconds: int) -> DataFrame:
-    """Runs of a stay within one slice, one row per distinct position."""
+def _walk(points: DataFrame, threshold_m: float, slice_seconds: int) -> DataFrame:
+    """Observations with the step from the one before and the moves so far, within one slice."""
     keys = [*VEHICLE, "slice"]
     # Provider is unique per time; ordering by it as well keeps both readers of this
     # frame on one shuffle.
     in_slice = W.partitionBy(*keys).orderBy("time", "provider")
     so_far = in_slice.rowsBetween(W.unboundedPreceding, W.currentRow)
-    walked = (points.withColumn("slice", time_slice(F.col("time"), slice_seconds))
-              .select(*keys, "time", "provider", "x", "y")
-              .withColumn("before", F.lag(F.struct("x", "y")).over(in_slice))
-              .withColumn("step", _step("before"))
-              .withColumn("moved", _moved(F.col("step"), threshold_m))
-              .withColumn("run", F.sum(F.col("moved").cast("int")).over(so_far)))
-    first = F.struct("time", "step", "moved", "provider", "x", "y")
-    return walked.groupBy(*keys, "run", "x", "y").agg(
-        F.min(first).alias("first"), F.max("time").alias("last_time"))
-
-
-def _carry(pieces: DataFrame, threshold_m: float) -> DataFrame:
+    return (points.withColumn("slice", time_slice(F.col("time"), slice_seconds))
+            .select(*keys, "time", "provider", "x", "y")
+            .withColumn("before", F.lag(F.struct("x", "y")).over(in_slice))
+            .withColumn("step", _step("before"))
+            .withColumn("moved", _moved(F.col("step"), threshold_m))
+            .withColumn("run", F.sum(F.col("moved").cast("int")).over(so_far))
+            .drop("before"))
+
+
+def _carry(walked: DataFrame, threshold_m: float) -> DataFrame:
     """Per slice: step into it, the number of its first stay, the vehicle's last time."""
     keys = [*VEHICLE, "slice"]
-    slices = pieces.groupBy(*keys).agg(
-        F.min("first").alias("head"),
-        F.max(F.struct("last_time", "x", "y")).alias("tail"),
-        F.max("run").alias("moves"))
+    at = F.struct("time", "x", "y")
+    slices = walked.groupBy(*keys).agg(
+        F.min(at).alias("head"), F.max(at).alias("tail"), F.max("run").alias("moves"))
     in_order = W.partitionBy(*VEHICLE).orderBy("slice")
     earlier = in_order.rowsBetween(W.unboundedPreceding, -1)
     entered = (slices.withColumn("before", F.lag("tail").over(in_order))
@@ -103,7 +100,7 @@ def _carry(pieces: DataFrame, threshold_m: float) -> DataFrame:
         *keys, F.col("head.time").alias("head_time"), "head_step", "head_moved",
         (F.coalesce(F.sum(F.col("entry") + F.col("moves")).over(earlier), F.lit(0))
          + F.col("entry")).alias("base"),
-        F.max("tail.last_time").over(W.partitionBy(*VEHICLE)).alias("vehicle_last"))
+        F.max("tail.time").over(W.partitionBy(*VEHICLE)).alias("vehicle_last"))
 
 
 def segment(points: DataFrame, threshold_m: float = MOVE_THRESHOLD_M,
@@ -117,20 +114,17 @@ def segment(points: DataFrame, threshold_m: float = MOVE_THRESHOLD_M,
     observation is not later are left out. ``distance_m`` is the step into the stay's
     first observation; the position is the mean of the stay's distinct positions.
     """
-    pieces = _pieces(with_lv03(distinct_observations(points)), threshold_m, slice_seconds)
-    carry = _carry(pieces, threshold_m)
+    walked = _walk(with_lv03(distinct_observations(points)), threshold_m, slice_seconds)
+    carry = _carry(walked, threshold_m)
     if active_after is not None:
         carry = carry.where(F.col("vehicle_last") > ts(active_after))
-    at_head = F.col("first.time") == F.col("head_time")
-    numbered = pieces.join(carry, [*VEHICLE, "slice"]).select(
-        *VEHICLE, (F.col("base") + F.col("run")).alias("stay"), "x", "y", "last_time",
-        F.struct(
-            F.col("first.time").alias("time"),
-            F.when(at_head, F.col("head_step")).otherwise(F.col("first.step")).alias("step"),
-            F.when(at_head, F.col("head_moved")).otherwise(F.col("first.moved")).alias("moved"),
-            F.col("first.provider").alias("provider")).alias("first"))
+    at_head = F.col("time") == F.col("head_time")
+    numbered = walked.join(carry, [*VEHICLE, "slice"]).select(
+        *VEHICLE, (F.col("base") + F.col("run")).alias("stay"), "x", "y", "time",
+        F.when(at_head, F.col("head_step")).otherwise(F.col("step")).alias("step"),
+        F.when(at_head, F.col("head_moved")).otherwise(F.col("moved")).alias("moved"), "provider")
     positions = numbered.groupBy(*VEHICLE, "stay", "x", "y").agg(
-        F.min("first").alias("first"), F.max("last_time").alias("last_time"))
+        F.min(F.struct("time", "step", "moved", "provider")).alias("first"), F.max("time").alias("last_time"))
     stays = positions.groupBy(*VEHICLE, "stay").agg(
         F.min("first").alias("first"), F.max("last_time").alias("time_to"),
         F.avg("x").alias("x"), F.avg("y").alias("y"))
