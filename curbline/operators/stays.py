@@ -28,7 +28,9 @@ SLICE_SECONDS = 3600
 
 
 def time_slice(column: Column, seconds: int = SLICE_SECONDS) -> Column:
-    return F.floor(F.unix_seconds(column) / seconds)
+    # Never null, so that joins by slice infer no filter: it would reach only one of the two
+    # scans of the same rows and keep them from sharing a shuffle.
+    return F.coalesce(F.floor(F.unix_seconds(column) / seconds), F.lit(0))
 
 
 def distinct_observations(points: DataFrame) -> DataFrame:
