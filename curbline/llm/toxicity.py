@@ -29,7 +29,7 @@ MIN_TOXIC = 5
 MIN_PRECISION = 0.9
 # A pattern counts when it is found in this share of the toxic rows, or adds that many rows to those covered.
 MIN_SHARE = 0.02
-MIN_GAIN = 5
+MIN_GAIN = 3
 THRESHOLD = 0.7
 WORDS_KEPT = 300_000
 
@@ -190,37 +190,36 @@ def _count_patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _occurrences(patterns: frozenset[str]):
-    """Which patterns a toxic row holds, each with the word before it."""
+    """Which patterns a toxic row holds, each with a hash of the words around its first place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, found, before = [], [], []
+            row, found, around = [], [], []
             for rid, text in zip(batch.column("rid").to_pylist(), batch.column("text").to_pylist()):
-                previous, seen = "", set()
-                for word in WORD.findall(text.lower()):
+                words, seen = WORD.findall(text.lower()), set()
+                for at, word in enumerate(words):
                     for pattern in (word, *(f"{word[:n]}*" for n in STEMS if len(word) > n)):
                         if pattern in patterns and pattern not in seen:
                             seen.add(pattern)
                             row.append(rid)
                             found.append(pattern)
-                            before.append(zlib.crc32(previous.encode()))
-                    previous = word
-            yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(found, pa.string()), pa.array(before, pa.int64())],
-                                             ["rid", "pattern", "before"])
+                            around.append(zlib.crc32(" ".join(words[max(0, at - 1):at] + ["_"] + words[at + 1:at + 2]).encode()))
+            yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(found, pa.string()), pa.array(around, pa.int64())],
+                                             ["rid", "pattern", "around"])
     return run
 
 
 def choose_patterns(found: list[tuple[int, str, int]], counts: dict[str, tuple[int, int]], rows: int) -> dict[str, float]:
-    """Patterns with weights from their places ``(row, pattern, word before)`` in ``rows`` toxic rows.
+    """Patterns with weights from their places ``(row, pattern, words around)`` in ``rows`` toxic rows.
 
-    A word that is put into texts stands after many different words; one that only a group of
+    A word that is put into texts stands between many different words; one that only a group of
     copies repeats does not, and is left out.
     """
     held: dict[str, set[int]] = {}
-    after: dict[str, set[int]] = {}
-    for row, pattern, before in found:
+    places: dict[str, set[int]] = {}
+    for row, pattern, around in found:
         held.setdefault(pattern, set()).add(row)
-        after.setdefault(pattern, set()).add(before)
-    varied = {p for p in held if len(after[p]) >= max(2, MIN_TOXIC - 1) and 3 * len(after[p]) >= len(held[p])}
+        places.setdefault(pattern, set()).add(around)
+    varied = {p for p in held if len(places[p]) >= MIN_TOXIC - 1 and 3 * len(places[p]) >= len(held[p])}
     chosen = [p for p in varied if len(held[p]) >= max(MIN_TOXIC, MIN_SHARE * rows)]
     covered = set().union(*(held[p] for p in chosen))
     rest = sorted(varied - set(chosen), key=lambda p: (-len(held[p]), p))
@@ -276,7 +275,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
               .orderBy(F.desc("toxic"), "pattern").limit(MAX_PATTERNS).collect())
     table = {r["pattern"]: (r["toxic"], r["rows"]) for r in counts}
     toxic = held.filter("toxic > 0").select("rid", "text")
-    found = toxic.mapInArrow(_occurrences(frozenset(table)), "rid long, pattern string, before long").collect() if table else []
+    found = toxic.mapInArrow(_occurrences(frozenset(table)), "rid long, pattern string, around long").collect() if table else []
     patterns = choose_patterns([(r[0], r[1], r[2]) for r in found], table, toxic.count())
     rows_of = held.select("text", "toxic").mapInArrow(_events_of(patterns), "toxic long, found array<double>").collect()
     matrix = np.array([r["found"] for r in rows_of]).reshape(-1, len(EVENTS))
