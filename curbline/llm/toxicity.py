@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -23,10 +24,11 @@ from curbline.session import stage
 
 # Labelled rows used at most: patterns, weights and calibration are fitted on those with the least hash of their id.
 FIT_ROWS = 20_000
-STEMS = (4, 5, 6)
+# Lengths of stems; a stem stands for longer words that begin with it, not for itself.
+STEMS = (3, 4, 5, 6, 7, 8)
 MAX_PATTERNS = 2_000
 MIN_TOXIC = 5
-MIN_PRECISION = 0.9
+MIN_PRECISION = 0.6
 # A pattern counts when it is found in this share of the toxic rows, or adds that many rows to those covered.
 MIN_SHARE = 0.02
 MIN_GAIN = 3
@@ -168,29 +170,34 @@ class Model:
         return 1.0 / (1.0 + math.exp(-max(-500.0, min(500.0, odds))))
 
 
-def _candidates(text: str) -> set[str]:
-    words = set(WORD.findall(text.lower()))
-    return words | {f"{w[:n]}*" for w in words for n in STEMS if len(w) > n}
-
-
-def _count_patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``text, toxic`` to ``pattern, toxic, rows``, summed over each batch."""
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``text, toxic`` to ``word, toxic, rows``, summed over each batch; a text counts once for a word."""
     for whole in batches:
         for start in range(0, whole.num_rows, 500):
             batch = whole.slice(start, 500)
-            counts: dict[str, list[int]] = {}
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                for pattern in _candidates(text):
-                    entry = counts.setdefault(pattern, [0, 0])
-                    entry[0] += toxic
-                    entry[1] += 1
+            toxic, rows = Counter(), Counter()
+            for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+                words = set(WORD.findall(text.lower()))
+                rows.update(words)
+                if label:
+                    toxic.update(words)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array([c[0] for c in counts.values()], pa.int64()),
-                 pa.array([c[1] for c in counts.values()], pa.int64())], ["pattern", "toxic", "rows"])
+                [pa.array(list(rows), pa.string()), pa.array([toxic[w] for w in rows], pa.int64()),
+                 pa.array(list(rows.values()), pa.int64())], ["word", "toxic", "rows"])
+
+
+def pattern_counts(held: DataFrame) -> DataFrame:
+    """``pattern, toxic, rows`` of words and stems; a text counts once for each different word."""
+    words = (held.select("text", "toxic").mapInArrow(_count_words, "word string, toxic long, rows long")
+             .groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("rows").alias("rows")))
+    lengths = F.filter(F.array(*[F.lit(n) for n in STEMS]), lambda n: n < F.length("word"))
+    stems = F.transform(lengths, lambda n: F.concat(F.substring("word", F.lit(1), n), F.lit("*")))
+    return (words.select(F.explode(F.concat(F.array("word"), stems)).alias("pattern"), "toxic", "rows")
+            .groupBy("pattern").agg(F.sum("toxic").alias("toxic"), F.sum("rows").alias("rows")))
 
 
 def _occurrences(patterns: frozenset[str]):
-    """Which patterns a toxic row holds, each with a hash of the words around its first place."""
+    """Which patterns a row holds, each with a hash of the words around its first place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, found, around = [], [], []
@@ -208,26 +215,31 @@ def _occurrences(patterns: frozenset[str]):
     return run
 
 
-def choose_patterns(found: list[tuple[int, str, int]], counts: dict[str, tuple[int, int]], rows: int) -> dict[str, float]:
-    """Patterns with weights from their places ``(row, pattern, words around)`` in ``rows`` toxic rows.
+def choose_patterns(found: list[tuple[int, str, int]], toxic: set[int]) -> dict[str, float]:
+    """Patterns with weights from their places ``(row, pattern, words around)`` and the rows that are toxic.
 
     A word that is put into texts stands between many different words; one that only a group of
-    copies repeats does not, and is left out.
+    copies repeats does not, and is left out. Of patterns in the same rows the longest is taken.
     """
     held: dict[str, set[int]] = {}
+    clean: Counter = Counter()
     places: dict[str, set[int]] = {}
     for row, pattern, around in found:
-        held.setdefault(pattern, set()).add(row)
-        places.setdefault(pattern, set()).add(around)
-    varied = {p for p in held if len(places[p]) >= MIN_TOXIC - 1 and 3 * len(places[p]) >= len(held[p])}
-    chosen = [p for p in varied if len(held[p]) >= max(MIN_TOXIC, MIN_SHARE * rows)]
-    covered = set().union(*(held[p] for p in chosen))
-    rest = sorted(varied - set(chosen), key=lambda p: (-len(held[p]), p))
-    for pattern in rest:
-        if len(held[pattern] - covered) >= MIN_GAIN:
-            chosen.append(pattern)
-            covered |= held[pattern]
-    return {p: math.log((counts[p][0] + 0.5) / (counts[p][1] - counts[p][0] + 0.5)) for p in chosen}
+        if row in toxic:
+            held.setdefault(pattern, set()).add(row)
+            places.setdefault(pattern, set()).add(around)
+        else:
+            clean[pattern] += 1
+    varied = [p for p in held if len(held[p]) >= MIN_TOXIC and len(places[p]) >= MIN_TOXIC - 1 and 3 * len(places[p]) >= len(held[p])
+              and len(held[p]) >= MIN_PRECISION * (len(held[p]) + clean[p])]
+    chosen: dict[frozenset, str] = {}
+    covered: set[int] = set()
+    for pattern in sorted(varied, key=lambda p: (-len(held[p]), -len(p), p)):
+        rows = frozenset(held[pattern])
+        if rows not in chosen and (len(rows) >= MIN_SHARE * len(toxic) or len(rows - covered) >= MIN_GAIN):
+            chosen[rows] = pattern
+            covered |= rows
+    return {p: math.log((len(rows) + 0.5) / (clean[p] + 0.5)) for rows, p in chosen.items()}
 
 
 def fit_events(found: np.ndarray, toxic: np.ndarray) -> tuple[float, list[float]]:
@@ -269,14 +281,14 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     # The sample's size is fixed, so it is sent to where the documents are.
     held = stage(text_rows(docs).join(F.broadcast(sample), "doc_id").select("rid", "text", F.col("toxic").cast("long").alias("toxic")),
                  "toxicity-sample")
-    counts = (held.select("text", "toxic").mapInArrow(_count_patterns, "pattern string, toxic long, rows long")
-              .groupBy("pattern").agg(F.sum("toxic").alias("toxic"), F.sum("rows").alias("rows"))
-              .filter((F.col("toxic") >= MIN_TOXIC) & (F.col("toxic") >= MIN_PRECISION * F.col("rows")))
-              .orderBy(F.desc("toxic"), "pattern").limit(MAX_PATTERNS).collect())
-    table = {r["pattern"]: (r["toxic"], r["rows"]) for r in counts}
-    toxic = held.filter("toxic > 0").select("rid", "text")
-    found = toxic.mapInArrow(_occurrences(frozenset(table)), "rid long, pattern string, around long").collect() if table else []
-    patterns = choose_patterns([(r[0], r[1], r[2]) for r in found], table, toxic.count())
+    counts = pattern_counts(held)
+    table = [r[0] for r in counts.filter((F.col("toxic") >= MIN_TOXIC) & (F.col("toxic") >= MIN_PRECISION * F.col("rows")))
+             .orderBy(F.desc("toxic"), "pattern").limit(MAX_PATTERNS).select("pattern").collect()]
+    patterns: dict[str, float] = {}
+    if table:
+        found = held.select("rid", "text").mapInArrow(_occurrences(frozenset(table)), "rid long, pattern string, around long").collect()
+        toxic = {r[0] for r in held.filter("toxic > 0").select("rid").collect()}
+        patterns = choose_patterns([tuple(r) for r in found], toxic)
     rows_of = held.select("text", "toxic").mapInArrow(_events_of(patterns), "toxic long, found array<double>").collect()
     matrix = np.array([r["found"] for r in rows_of]).reshape(-1, len(EVENTS))
     bias, weights = fit_events(matrix, np.array([min(1, r["toxic"]) for r in rows_of], float))
