@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,10 +58,11 @@ def _bucket(key: Column, bounds: list[int]) -> Column:
         (at + step <= size) & (F.get(table, F.least(at + step, F.lit(size)) - 1) < key), at + step).otherwise(at))
 
 
-def with_next(rows: DataFrame, key: str, tie: str, columns: list[str], buckets: int) -> DataFrame:
+def with_next(rows: DataFrame, key: str, tie: str, columns: list[str], buckets: int,
+              derived: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """Adds ``next_<c>`` for each column: its value in the next row by descending ``key``, after the last the first.
 
-    Rows are dealt to ranges of the key. The first rows of a range are also given to the range
+    ``derived`` adds columns that follow from a row, which may be among those. Rows are dealt to ranges of the key. The first rows of a range are also given to the range
     before it, as its end; they are found from one number a range, so no task sorts all rows.
     """
     spark = rows.sparkSession
@@ -74,10 +77,13 @@ def with_next(rows: DataFrame, key: str, tie: str, columns: list[str], buckets:
         "_at", F.explode(F.filter(F.array(F.struct(F.col("_bucket").alias("bucket"), F.lit(False).alias("extra")),
                                           F.struct(F.col("_before").alias("bucket"), F.lit(True).alias("extra"))),
                                   lambda at: at["bucket"].isNotNull())))
-    order = Window.partitionBy("_at.bucket").orderBy("_at.extra", F.desc(key), tie)
-    for column in columns:
-        copies = copies.withColumn(f"next_{column}", F.lead(column).over(order))
-    return copies.filter("not _at.extra").drop("_bucket", "_top", "_before", "_at")
+    placed = copies.withColumns({"_bucket": F.col("_at.bucket"), "_extra": F.col("_at.extra")}).drop("_top", "_before", "_at")
+    # Dealt here, so that what is derived from a text does not move with it.
+    placed = derived(placed.repartition("_bucket"))
+    order = Window.partitionBy("_bucket").orderBy("_extra", F.desc(key), tie)
+    following = F.lead(F.struct(*columns)).over(order)
+    return placed.withColumn("_next", following).filter("not _extra").select(
+        *[c for c in placed.columns if not c.startswith("_")], *[F.col("_next")[c].alias(f"next_{c}") for c in columns])
 
 
 def edited_fingerprints(docs: DataFrame, words: int = WORDS, fraction: float = FRACTION) -> DataFrame:
@@ -90,9 +96,9 @@ def edited_fingerprints(docs: DataFrame, words: int = WORDS, fraction: float = F
     """
     spark = docs.sparkSession
     rows = text_rows(docs).withColumn("key", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))))
-    rows = with_sketch(rows, "text", "sketch", words, fraction)
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    paired = with_next(rows, "key", "text", ["text", "sketch"], buckets)
+    paired = with_next(rows, "key", "text", ["text", "sketch"], buckets,
+                       lambda dealt: with_sketch(dealt, "text", "sketch", words, fraction))
     half = F.floor(F.length("text") / 2).cast("int")
     edited = paired.withColumn("edited", F.concat(
         F.substring("text", F.lit(1), F.length("text") - half), F.substring("next_text", F.lit(1), half)))
