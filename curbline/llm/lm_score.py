@@ -58,6 +58,9 @@ class Vocabulary:
     rare_total: np.ndarray  # (count + 1) over the other words of a subclass, and 1 for an unknown one
     class_bias: np.ndarray
     subclass_bias: np.ndarray
+    # Count and spelling of the last frequent word.
+    floor: int = 0
+    border: bytes = b""
 
     @property
     def size(self) -> int:
@@ -270,7 +273,9 @@ def build_vocabulary(counts: DataFrame, hot_words: int = HOT_WORDS) -> Vocabular
     """The most frequent words come to the driver, at most ``hot_words`` of at most 64 bytes; of the others, sums."""
     top = counts.filter((F.octet_length("word") <= HOT_BYTES) & (F.octet_length("word") > 0)).orderBy(F.desc("c"), "word").limit(hot_words)
     end = counts.filter(F.octet_length("word") == 0).agg(F.sum("c")).first()[0] or 0
-    hot = sorted([(bytes(r["word"]), r["c"]) for r in top.collect()] + ([(END, end)] if end else []), key=lambda x: (-x[1], x[0]))
+    table = top.toArrow()
+    hot = sorted([*zip(table.column("word").to_pylist(), table.column("c").to_pylist()), *([(END, end)] if end else [])],
+                 key=lambda x: (-x[1], x[0]))
     words, weights = [w for w, _ in hot], np.array([c for _, c in hot], np.int64)
     bounds = spelling_bounds(words, weights)
     rare_count, rare_words = np.zeros(SUBCLASSES), np.zeros(SUBCLASSES)

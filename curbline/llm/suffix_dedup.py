@@ -24,7 +24,7 @@ LENGTH = 400
 GRAM = 64
 STEP = 40
 # A bucket with more different contexts than this is counted window by window on the cluster.
-CROWD = 4000
+CROWD = 1000
 # Windows hashed, and bytes of contexts sorted, in one go.
 BLOCK = 1 << 18
 SORTED_BYTES = 8 << 20
