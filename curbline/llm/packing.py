@@ -23,7 +23,8 @@ SLACK = 8
 GROUP = 50_000
 # The rounds end when one saves less than this share of the open bins.
 LEAST_GAIN = 0.002
-WORDS_KEPT = 300_000
+# Words whose ids a worker remembers.
+WORDS_KEPT = 800_000
 
 
 class WordEncoder:
@@ -40,21 +41,42 @@ class WordEncoder:
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [text.encode().split() for text in texts]
-        if len(self.known) > WORDS_KEPT:
-            self.known.clear()
+        """Little-endian unsigned 32-bit ids of each text. The vocabulary is in lower case, so words are too."""
+        split = [text.encode().lower().split() for text in texts]
         get = self.known.get
         found = [list(map(get, words)) for words in split]
-        new = list({word for words, ids in zip(split, found) if None in ids for word, known in zip(words, ids) if known is None})
+        missing = {word for words, ids in zip(split, found) if None in ids for word, known in zip(words, ids) if known is None}
+        if missing:
+            made = self._made(missing)
+            found = [[made[word] if known is None else known for word, known in zip(words, ids)] if None in ids else ids
+                     for words, ids in zip(split, found)]
+        return list(map(b"".join, found))
+
+    def _made(self, missing: set[bytes]) -> dict[bytes, bytes]:
+        # A full stop or comma after a letter or digit is matched by itself.
+        ends = {word: word[:-1] for word in missing if word[-1:] in b".," and word[-2:-1].isalnum()}
+        whole = list({ends.get(word, word) for word in missing} | {word[-1:] for word in ends})
+        made: dict[bytes, bytes] = {}
+        new = []
+        for word in whole:
+            ids = self.known.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                made[word] = ids
         for start in range(0, len(new), 10_000):
             part = new[start:start + 10_000]
-            made = self.tokenizer.encode([w.decode() for w in part], is_pretokenized=True, add_special_tokens=False)
-            ids, owner = np.array(made.ids, "<u4"), np.array(made.word_ids, np.int64)
-            cuts = np.searchsorted(owner, np.arange(len(part) + 1))
+            encoded = self.tokenizer.encode([w.decode() for w in part], is_pretokenized=True, add_special_tokens=False)
+            ids, owner = np.array(encoded.ids, "<u4"), np.array(encoded.word_ids, np.int64)
+            cuts = np.searchsorted(owner, np.arange(len(part) + 1)).tolist()
+            data = ids.tobytes()
             for k, word in enumerate(part):
-                self.known[word] = ids[cuts[k]:cuts[k + 1]].tobytes()
-        return [b"".join(map(get, words) if None in ids else ids) for words, ids in zip(split, found)]
+                made[word] = data[4 * cuts[k]:4 * cuts[k + 1]]
+        for word, core in ends.items():
+            made[word] = made[core] + made[word[-1:]]
+        if len(self.known) < WORDS_KEPT:
+            self.known.update(made)
+        return made
 
 
 def _pieces(path: str, capacity: int, end_id: int):
