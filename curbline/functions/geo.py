@@ -7,7 +7,9 @@ A point is ``struct<x, y>`` and a line ``array<struct<x, y>>``, both in degrees.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Earth radii in metres (great circle; Web-Mercator sphere).
@@ -18,6 +20,13 @@ MERCATOR_RADIUS_M = 6378137.0
 SWISS_LON = (5.9, 10.6)
 SWISS_LAT = (45.7, 47.9)
 
+# WGS84 and Bessel ellipsoids (half axis, squared eccentricity), the shift between
+# their centres in metres, and the origin of the Swiss grid in degrees.
+WGS84_AXIS_M, WGS84_E2 = 6378137.0, 0.006694379990141317
+BESSEL_AXIS_M, BESSEL_E2 = 6377397.155, 0.006674372230614
+SHIFT_M = (674.374, 15.056, 405.346)
+ORIGIN_LON, ORIGIN_LAT = 7.439583333333333, 46.95240555555556
+
 
 def in_box(lon: Column, lat: Column, south: float | Column, north: float | Column,
            west: float | Column, east: float | Column) -> Column:
@@ -40,6 +49,55 @@ def lv03(lon: Column, lat: Column) -> tuple[Column, Column]:
     return F.when(ok, x), F.when(ok, y)
 
 
+def grid_constants() -> tuple[float, float, float, float, float]:
+    """Of the Swiss grid: stretch of longitudes, sine and cosine of the origin's latitude on the
+    sphere, constant of the latitude formula, radius of the sphere."""
+    lat, e = math.radians(ORIGIN_LAT), math.sqrt(BESSEL_E2)
+    alpha = math.sqrt(1 + BESSEL_E2 / (1 - BESSEL_E2) * math.cos(lat) ** 4)
+    origin = math.asin(math.sin(lat) / alpha)
+    constant = (math.log(math.tan(math.pi / 4 + origin / 2)) - alpha * math.log(math.tan(math.pi / 4 + lat / 2))
+                + alpha * e / 2 * math.log((1 + e * math.sin(lat)) / (1 - e * math.sin(lat))))
+    radius = BESSEL_AXIS_M * math.sqrt(1 - BESSEL_E2) / (1 - BESSEL_E2 * math.sin(lat) ** 2)
+    return alpha, math.sin(origin), math.cos(origin), constant, radius
+
+
+def with_lv03_anywhere(df: DataFrame) -> DataFrame:
+    """Add ``x, y``: LV03 metres of ``lon, lat`` by the polynomials where they are valid and by
+    the closed formulas of the oblique projection elsewhere; they differ by less than 1 m.
+
+    Steps are columns of their own, so that none is computed twice. A coordinate that is
+    null or no number gives null or no number; a pole or the point opposite to the origin
+    has no place on the grid.
+    """
+    alpha, sin0, cos0, constant, radius = grid_constants()
+    e, short = math.sqrt(BESSEL_E2), BESSEL_AXIS_M * math.sqrt(1 - BESSEL_E2)
+    second = BESSEL_E2 / (1 - BESSEL_E2)
+    phi, lam = F.radians("lat"), F.radians("lon")
+    c = F.col
+    steps = [
+        {"_n": WGS84_AXIS_M / F.sqrt(1 - WGS84_E2 * F.sin(phi) * F.sin(phi))},
+        {"_x": c("_n") * F.cos(phi) * F.cos(lam) - SHIFT_M[0], "_y": c("_n") * F.cos(phi) * F.sin(lam) - SHIFT_M[1],
+         "_z": c("_n") * (1 - WGS84_E2) * F.sin(phi) - SHIFT_M[2]},
+        {"_p": F.sqrt(c("_x") * c("_x") + c("_y") * c("_y"))},
+        {"_t": F.atan2(c("_z") * BESSEL_AXIS_M, c("_p") * short)},
+        {"_s": F.sin("_t"), "_c": F.cos("_t")},
+        {"_phi": F.atan2(c("_z") + second * short * c("_s") * c("_s") * c("_s"),
+                         c("_p") - BESSEL_E2 * BESSEL_AXIS_M * c("_c") * c("_c") * c("_c")),
+         "_l": alpha * (F.atan2("_y", "_x") - math.radians(ORIGIN_LON))},
+        {"_q": alpha * F.ln(F.tan(math.pi / 4 + c("_phi") / 2))
+         - alpha * e / 2 * F.ln((1 + e * F.sin("_phi")) / (1 - e * F.sin("_phi"))) + constant},
+        {"_b": 2 * (F.atan(F.exp("_q")) - math.pi / 4)},
+        {"_sin": cos0 * F.sin("_b") - sin0 * F.cos("_b") * F.cos("_l")},
+        {"x": 600000 + radius * F.atan2(F.sin("_l"), sin0 * F.tan("_b") + cos0 * F.cos("_l")),
+         "y": 200000 + radius / 2 * F.ln((1 + c("_sin")) / (1 - c("_sin")))}]
+    placed = df
+    for step in steps:
+        placed = placed.withColumns(step)
+    near_x, near_y = lv03(c("lon"), c("lat"))
+    placed = placed.withColumns({"x": F.coalesce(near_x, "x"), "y": F.coalesce(near_y, "y")})
+    return placed.drop("_n", "_x", "_y", "_z", "_p", "_t", "_s", "_c", "_phi", "_l", "_q", "_b", "_sin")
+
+
 def wgs84(x: Column, y: Column) -> tuple[Column, Column]:
     """LV03 metres back to WGS84 degrees."""
     a = (x - 600000) / 1000000

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from curbline.functions.geo import lv03, planar_distance
+from curbline.functions.geo import planar_distance, with_lv03_anywhere
 from curbline.functions.timing import seconds_between, to_zone
 from curbline.operators.stays import SLICE_SECONDS, time_slice
 
@@ -27,8 +27,8 @@ def convert_time_zone(df: DataFrame, columns: Sequence[str], zone_from: str = "U
 
 def distance_from_point(df: DataFrame, x: float, y: float) -> DataFrame:
     """Add ``distance_m`` from a fixed point given in LV03 metres."""
-    px, py = lv03(F.col("lon"), F.col("lat"))
-    return df.withColumn("distance_m", planar_distance(px, py, F.lit(x), F.lit(y)))
+    distance = planar_distance(F.col("x"), F.col("y"), F.lit(x), F.lit(y))
+    return with_lv03_anywhere(df).withColumn("distance_m", distance).drop("x", "y")
 
 
 def _walked(points: DataFrame, min_distance_m: float, slice_seconds: int) -> DataFrame:
@@ -36,15 +36,13 @@ def _walked(points: DataFrame, min_distance_m: float, slice_seconds: int) -> Dat
     far and whether the row is the vehicle's first. Windows hold one time slice of a vehicle;
     its last position and number of moves are carried to the next."""
     keys = ["id", "slice"]
-    px, py = lv03(F.col("lon"), F.col("lat"))
     in_slice = W.partitionBy(*keys).orderBy(*ORDER)
     so_far = in_slice.rowsBetween(W.unboundedPreceding, W.currentRow)
 
     def counted(step: str):
         return F.coalesce((F.col(step) >= min_distance_m) & (F.col(step) > 0), F.lit(False)).cast("int")
 
-    rows = (points.withColumns({"x": px, "y": py})
-            .withColumn("slice", time_slice(F.col("time_airflow"), slice_seconds)))
+    rows = (with_lv03_anywhere(points).withColumn("slice", time_slice(F.col("time_airflow"), slice_seconds)))
     walked = (rows.withColumn("before", F.lag(F.struct("x", "y")).over(in_slice))
               .withColumn("pos", F.row_number().over(in_slice))
               .withColumn("step", planar_distance(F.col("before.x"), F.col("before.y"), F.col("x"), F.col("y")))

@@ -22,8 +22,6 @@ from curbline.sources.streets import MODES
 CELL_M = 500.0
 # A broadcast node takes about this many bytes in a hash relation.
 NODE_BYTES = 120
-# Wider than the diagonal of any region, so the last grid leaves nothing out.
-WIDEST_CELL_M = 64000.0
 # Great-circle and LV03 lengths differ by less than this factor inside a region.
 CELL_SAFETY = 0.99
 
@@ -62,21 +60,27 @@ def nearest_nodes(points: DataFrame, nodes: DataFrame, key: Sequence[str],
     """Add ``node_<mode>`` and its great-circle distance ``node_<mode>_m``.
 
     ``points`` needs ``city_bfs_id, lon, lat, x, y`` and a unique ``key`` that includes
-    ``city_bfs_id``; ties go to the smaller node id. A mode without any node in the
-    region gives null. Each grid runs as one job, and nearly always only the first has
-    rows to place.
+    ``city_bfs_id``; ties go to the smaller node id. Grids widen until every position has
+    its node, however far; only a position without coordinates, or a mode without any
+    node in the region, gives null. Each grid runs as one job, and nearly always only the
+    first has rows to place.
     """
     key = list(key)
     columns = points.columns
+    # Regions that have a node on the grid: one row per region and mode.
+    on_grid = F.col("city_bfs_id").isNotNull() & lv03(F.col("lon"), F.col("lat"))[0].isNotNull()
+    covered = {m: [r[0] for r in nodes.where((F.col("mode") == m) & on_grid).select("city_bfs_id").distinct().collect()]
+               for m in modes}
+    placed = F.coalesce(F.col("x") - F.col("x") == 0, F.lit(False)) & F.coalesce(F.col("y") - F.col("y") == 0, F.lit(False))
     width, rest, found = cell_m, points, []
     while True:
         snapped = stage(_snap(rest, nodes, key, modes, width), "nearest")
-        if width >= WIDEST_CELL_M:
-            found.append(snapped)
-            break
         settled = F.lit(True)
         for m in modes:
-            settled = settled & F.coalesce(F.col(f"node_{m}_m") <= width * CELL_SAFETY, F.lit(False))
+            near = F.coalesce(F.col(f"node_{m}_m") <= width * CELL_SAFETY, F.lit(False))
+            nowhere = ~F.coalesce(F.col("city_bfs_id").isin(covered[m]), F.lit(False)) if covered[m] else F.lit(True)
+            settled = settled & (near | nowhere)
+        settled = settled | ~placed
         found.append(snapped.where(settled))
         rest = snapped.where(~settled).select(columns)
         if rest.isEmpty():

@@ -29,7 +29,6 @@ PAIR = ("city_bfs_id", "mode", "origin", "destination")
 # Expansion rounds per job, and pointer doublings before paths are followed.
 ROUNDS_PER_JOB = 6
 DOUBLINGS = 3
-MAX_ROUNDS = 20000
 # A broadcast edge takes about this many bytes in a hash relation.
 EDGE_BYTES = 80
 
@@ -58,9 +57,9 @@ class _Network:
         keys = _node_keys(pairs, edges)
         self.keys = keys
         self.pairs = stage(_keyed(_keyed(pairs, keys, "origin", "o"), keys, "destination", "d"), "pairs")
-        self.edges = stage(_keyed(_keyed(edges, keys, "u", "s"), keys, "v", "t").select("s", "t", "length_m"), "edges")
+        self.edges = stage(_keyed(_keyed(edges, keys, "u", "s"), keys, "v", "t").select("s", "t", "length_m", "u"), "edges")
         # Edges plus a zero-length step from every node to itself, which keeps its label.
-        self.expansion = broadcast_if_small(self.edges.unionByName(
+        self.expansion = broadcast_if_small(self.edges.drop("u").unionByName(
             keys.select(F.col("key").alias("s"), F.col("key").alias("t"), F.lit(0.0).alias("length_m"))), EDGE_BYTES)
         self.edges = broadcast_if_small(self.edges, EDGE_BYTES)
         self.width = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -102,7 +101,7 @@ def _search(net: _Network) -> DataFrame:
     labels = targets.unionByName(starts).groupBy("o", "n").agg(
         F.min("dist").alias("dist"), F.max("open").alias("open"), F.max("target").alias("target"))
     finished = []
-    for _ in range(0, MAX_ROUNDS, ROUNDS_PER_JOB):
+    while True:
         # A fixed number of partitions: labels multiply within a job, so merging partitions
         # by the size they have at its start would leave too few tasks.
         labels = labels.repartition(net.width, "o")
@@ -113,14 +112,13 @@ def _search(net: _Network) -> DataFrame:
         labels = labels.where("active").drop("active")
         if labels.isEmpty():
             return reduce(DataFrame.unionByName, finished)
-    raise RuntimeError(f"shortest paths did not settle within {MAX_ROUNDS} rounds")
 
 
 def _predecessors(labels: DataFrame, net: _Network) -> DataFrame:
     """For every reached node but the origin: the previous node on its shortest path."""
     step = labels.join(net.edges, F.col("n") == F.col("s"))
     return (step.where(F.col("t") != F.col("o")).groupBy("o", F.col("t").alias("n"))
-            .agg(F.min(F.struct((F.col("dist") + F.col("length_m")).alias("dist"), "s")).alias("best"))
+            .agg(F.min(F.struct((F.col("dist") + F.col("length_m")).alias("dist"), "u", "s")).alias("best"))
             .select("o", "n", F.col("best.s").alias("back")))
 
 
@@ -142,7 +140,7 @@ def _follow(net: _Network, labels: DataFrame, pointers: DataFrame) -> DataFrame:
     at = _reached(net, labels).withColumns(
         {"n": F.col("d"), "nodes": F.array().cast("array<bigint>")})
     done = []
-    for _ in range(0, MAX_ROUNDS, 2 ** DOUBLINGS):
+    while True:
         arrived = F.col("n") == F.col("o")
         done.append(at.where(arrived).select(*PAIR, "length_m", F.concat(F.array("o"), "nodes").alias("keys")))
         moving = at.where(~arrived)
@@ -150,8 +148,6 @@ def _follow(net: _Network, labels: DataFrame, pointers: DataFrame) -> DataFrame:
             break
         at = stage(moving.join(pointers, ["o", "n"]).select(
             *PAIR, "length_m", "o", F.col("back").alias("n"), F.concat("passed", "nodes").alias("nodes")), "follow")
-    else:
-        raise RuntimeError(f"a path has more than {MAX_ROUNDS} nodes")
     return reduce(DataFrame.unionByName, done)
 
 
@@ -170,7 +166,7 @@ def shortest_paths(pairs: DataFrame, edges: DataFrame) -> DataFrame:
     """Vertices of the shortest path of each distinct reachable pair: ``pos`` from 0 and
     ``node_id``, with ``length_m`` of the whole path.
 
-    Among equal lengths one fixed path is taken. A pair whose ends are one node has that
+    Among equal lengths every step goes back to the smaller ``node_id``, whatever the task layout. A pair whose ends are one node has that
     single vertex.
     """
     net = _Network(pairs, edges)

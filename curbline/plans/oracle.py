@@ -1,11 +1,16 @@
 """The same results in plain SQL over the event table, for DuckDB.
 
 Every statement is written from the definition of its operator, with whole-vehicle windows
-and unindexed joins, and shares nothing with the Spark code but the region list.
+and unindexed joins. It shares the region list, the constants of the projections and, where an
+approximation is part of the definition, its polynomials.
 """
 
 from __future__ import annotations
 
+from math import radians, sqrt
+
+from curbline.functions.geo import (BESSEL_AXIS_M, BESSEL_E2, ORIGIN_LON, SHIFT_M, SWISS_LAT, SWISS_LON,
+                                    WGS84_AXIS_M, WGS84_E2, grid_constants)
 from curbline.regions import REGIONS
 
 JANUARY = ("2024-01-01", "2024-02-01")
@@ -176,20 +181,41 @@ _FEED = """feed AS (SELECT 'p' || (user_id % 3) AS provider_id, max(CAST(floor(e
   bool_and(user_id % 3 <> 1) AS offers FROM events GROUP BY user_id % 3)"""
 
 _EXPLORED = ",\nseen AS (SELECT o.*, c.city_bfs_id FROM obs o JOIN cities c ON " + _INSIDE + ")"
+
+# No region: the polynomials where they are valid, elsewhere the closed formulas of the Swiss
+# oblique projection, step by step.
 _X, _Y = _lv03("lon", "lat")
-_WALKED = OBS + _EXPLORED + f""",
-flat AS (SELECT *, {_X} AS x, {_Y} AS y FROM seen),
+_VALID = f"lon BETWEEN {SWISS_LON[0]}e0 AND {SWISS_LON[1]}e0 AND lat BETWEEN {SWISS_LAT[0]}e0 AND {SWISS_LAT[1]}e0"
+_A, _SIN0, _COS0, _K, _R = grid_constants()
+_E = sqrt(BESSEL_E2)
+_SHORT = BESSEL_AXIS_M * sqrt(1 - BESSEL_E2)
+_ANYWHERE = f""",
+p1 AS (SELECT *, radians(lat) AS phi0, radians(lon) AS lam0,
+  {WGS84_AXIS_M!r} / sqrt(1 - {WGS84_E2!r}::DOUBLE * sin(radians(lat)) * sin(radians(lat))) AS nn FROM obs),
+p2 AS (SELECT *, nn * cos(phi0) * cos(lam0) - {SHIFT_M[0]}::DOUBLE AS gx, nn * cos(phi0) * sin(lam0) - {SHIFT_M[1]}::DOUBLE AS gy,
+  nn * (1 - {WGS84_E2!r}::DOUBLE) * sin(phi0) - {SHIFT_M[2]}::DOUBLE AS gz FROM p1),
+p3 AS (SELECT *, sqrt(gx * gx + gy * gy) AS gp, atan2(gz * {BESSEL_AXIS_M!r}::DOUBLE, sqrt(gx * gx + gy * gy) * {_SHORT!r}::DOUBLE) AS gt FROM p2),
+p4 AS (SELECT *, atan2(gz + {BESSEL_E2 / (1 - BESSEL_E2) * _SHORT!r}::DOUBLE * pow(sin(gt), 3),
+  gp - {BESSEL_E2 * BESSEL_AXIS_M!r}::DOUBLE * pow(cos(gt), 3)) AS bphi,
+  {_A!r}::DOUBLE * (atan2(gy, gx) - {radians(ORIGIN_LON)!r}::DOUBLE) AS bl FROM p3),
+p5 AS (SELECT *, 2 * (atan(exp({_A!r}::DOUBLE * ln(tan(pi() / 4 + bphi / 2))
+  - {_A * _E / 2!r}::DOUBLE * ln((1 + {_E!r}::DOUBLE * sin(bphi)) / (1 - {_E!r}::DOUBLE * sin(bphi))) + {_K!r}::DOUBLE)) - pi() / 4) AS bb FROM p4),
+closed AS (SELECT *, 600000 + {_R!r}::DOUBLE * atan2(sin(bl), {_SIN0!r}::DOUBLE * tan(bb) + {_COS0!r}::DOUBLE * cos(bl)) AS x,
+  200000 + {_R!r}::DOUBLE / 2 * ln((1 + {_COS0!r}::DOUBLE * sin(bb) - {_SIN0!r}::DOUBLE * cos(bb) * cos(bl))
+    / (1 - {_COS0!r}::DOUBLE * sin(bb) + {_SIN0!r}::DOUBLE * cos(bb) * cos(bl))) AS y FROM p5),
+flat AS (SELECT * REPLACE (CASE WHEN {_VALID} THEN {_X} ELSE x END AS x, CASE WHEN {_VALID} THEN {_Y} ELSE y END AS y) FROM closed)"""
+_WALKED = OBS + _ANYWHERE + """,
 prev AS (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py, row_number() OVER w AS nth FROM flat
   WINDOW w AS (PARTITION BY id ORDER BY runtime, time, lon, lat)),
 walked AS (SELECT *, sqrt((x - px) * (x - px) + (y - py) * (y - py)) AS distance_m FROM prev)"""
 
 
-def _bins(where: str = "") -> str:
-    return f"""SELECT time_bucket(INTERVAL 2 MINUTE, runtime) AS time, provider, city_bfs_id, count(*) AS count_datapoints,
+def _bins() -> str:
+    return """SELECT time_bucket(INTERVAL 2 MINUTE, runtime) AS time, provider, city_bfs_id, count(*) AS count_datapoints,
   count(DISTINCT vehicle) AS count_distinct_ids, round(avg(epoch_us(runtime) - epoch_us(time)) / 1000000e0, 6) AS avg_delta_updated,
   count(*) AS count_available, CAST(sum(coalesce(CAST(disabled AS INT), 0)) AS BIGINT) AS count_disabled,
   CAST(sum(coalesce(CAST(reserved AS INT), 0)) AS BIGINT) AS count_reserved
-FROM pts GROUP BY 1, 2, 3 {where}"""
+FROM pts GROUP BY 1, 2, 3"""
 
 
 def _registry_rows(interval: tuple[str, str], name: str) -> str:
@@ -227,11 +253,11 @@ joined AS (
   SELECT a.city_bfs_id, r.id, r.provider, r.time, r.lon, r.lat, NULL, 0 FROM recent r JOIN awake a USING (id) WHERE r.r <= 2)"""
         + _segments("joined", "rank, runtime, lon, lat, provider", "j"),
         f"SELECT {_STAY_COLUMNS} FROM jstays WHERE time_to >= TIMESTAMP '2024-01-16'")
-    q["street_clip"] = _with(_stays() + STREETS, """SELECT w.city_bfs_id, w.u, w.v, round(w.length_m, 3) AS length_m,
+    q["street_clip"] = _with(_stays() + STREETS, """SELECT w.city_bfs_id, w.mode, w.u, w.v, round(w.length_m, 3) AS length_m,
   coalesce(n.stays, 0) AS stays FROM ways w
   SEMI JOIN nodes a ON a.city_bfs_id = w.city_bfs_id AND a.node_id = w.u
   LEFT JOIN (SELECT city_bfs_id, node_id, count(*) AS stays FROM near GROUP BY ALL) n
-    ON n.city_bfs_id = w.city_bfs_id AND n.node_id = w.u WHERE w.mode = 'walk'""", True)
+    ON n.city_bfs_id = w.city_bfs_id AND n.node_id = w.u""", True)
     q["nearest_node"] = _with(_stays() + STREETS, """SELECT city_bfs_id, id, time_from, node_id AS node_walk,
   node_id AS node_bike, round(node_m, 3) AS node_walk_m, round(node_m, 3) AS node_bike_m FROM near""", True)
     q["shortest_path"] = _with(_stays() + STREETS, """SELECT city_bfs_id, mode, origin, destination,
@@ -300,8 +326,14 @@ WHERE time_to BETWEEN TIMESTAMP '2024-01-16' AND TIMESTAMP '2024-02-01' GROUP BY
 FROM obs JOIN feed ON provider_id = pid WHERE offers""")
     q["offering_providers"] = _with(_FEED, "SELECT provider_id, last_updated FROM feed WHERE offers")
     q["stream_provider_stats"] = _with(OBS + ",\npts AS (SELECT o.*, c.city_bfs_id FROM obs o JOIN cities c ON " + _INSIDE + ")",
-                                       _bins("""HAVING time_bucket(INTERVAL 2 MINUTE, runtime) + INTERVAL 2 MINUTE
-  <= (SELECT max(runtime) FROM pts) - INTERVAL 10 MINUTE"""))
+                                       _bins())
+    q["stream_registry"] = _with(
+        OBS + ",\npts AS (SELECT o.*, c.city_bfs_id FROM obs o JOIN cities c ON " + _INSIDE + ")",
+        """SELECT vehicle AS id, last(provider ORDER BY time, provider) AS provider, city_bfs_id, min(time) AS first_seen,
+  max(time) AS last_seen, count(DISTINCT (provider, time)) AS datapoints FROM pts GROUP BY vehicle, city_bfs_id""")
+    q["registry_rerun"] = q["upsert_accumulate"]
+    q["pages_scan"] = _with(OBS, """SELECT id, vehicle, pid AS provider, round(lon, 6) AS lon, round(lat, 6) AS lat,
+  CASE WHEN CAST(floor(epoch(runtime)) AS BIGINT) % 7 <> 0 THEN true END AS available FROM obs""")
     q["explore_scan"] = _with(OBS, """SELECT time AS time_provider, runtime AS time_airflow, id, round(lon, 6) AS lon,
   round(lat, 6) AS lat, pid AS provider, true AS is_available, disabled AS is_disabled, reserved AS is_reserved
 FROM obs WHERE lat > 46 AND lat < 47.5e0 AND lon > 7 AND lon < 8.75e0
@@ -317,8 +349,8 @@ spans AS (SELECT *, first_value(time) OVER w AS time_from, last_value(time) OVER
                                   """SELECT id, runtime AS time_airflow, time AS time_provider, round(distance_m, 3) AS distance_m,
   time_from, time_to, round((epoch_us(time_to) - epoch_us(time_from)) / 1000000e0, 3) AS stay_in_pos_sec
 FROM spans WHERE distance_m >= 20 OR nth = 1""")
-    q["distance_from_point"] = _with(OBS + _EXPLORED, f"""SELECT id, runtime AS time_airflow,
-  round({_planar((_X, _Y), ("695538e0", "260803e0"))}, 3) AS distance_m FROM seen""")
+    q["distance_from_point"] = _with(OBS + _ANYWHERE, f"""SELECT id, runtime AS time_airflow,
+  round({_planar(("x", "y"), ("695538e0", "260803e0"))}, 3) AS distance_m FROM flat""")
     # Winter time holds for the whole event table.
     q["tz_convert"] = _with(OBS, """SELECT id, time + INTERVAL 1 HOUR AS time_provider, runtime + INTERVAL 1 HOUR AS time_airflow,
   date_trunc('hour', runtime + INTERVAL 1 HOUR)::TIMESTAMP AS hour FROM obs""")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Row
 from test_marts import at, observations
 
-from curbline.functions.geo import line_length, lv03, wgs84
+from curbline.functions.geo import line_length, lv03, wgs84, with_lv03_anywhere
 from curbline.operators import explore
 from curbline.operators.stats import vehicles
 from curbline.sources.observations import explore as scan
@@ -76,3 +76,16 @@ def test_projections_round_trip(spark):
                      "array(named_struct('x', 8.70D, 'y', 47.49D)) as one")
     r = line.select(line_length(F.col("l")).alias("l"), line_length(F.col("one")).alias("one")).first()
     assert r.l == pytest.approx(1111.9, abs=1) and r.one is None
+
+
+def test_closed_projection(spark):
+    """Agrees with the polynomials in Switzerland and goes on where they end."""
+    df = spark.createDataFrame([(8.7, 47.49), (7.45, 46.95), (6.1, 46.2), (11.0, 47.0), (11.1, 47.0), (0.0, 0.0), (None, 47.0)],
+                               "lon double, lat double")
+    x, y = lv03(F.col("lon"), F.col("lat"))
+    rows = with_lv03_anywhere(df.withColumns({"px": x, "py": y})).collect()
+    for r in rows[:3]:
+        assert r.x == pytest.approx(r.px, abs=1) and r.y == pytest.approx(r.py, abs=1)
+    # 0.1 degrees of longitude at 47 degrees north.
+    assert ((rows[4].x - rows[3].x) ** 2 + (rows[4].y - rows[3].y) ** 2) ** 0.5 == pytest.approx(7604, abs=5)
+    assert rows[5].px is None and rows[5].y < -5e6 and rows[6].x is None

@@ -148,3 +148,21 @@ def test_one_vehicle_with_most_rows(spark):
                 .groupBy("id", "stay").agg(F.min("time").alias("time_from"), F.max("time").alias("time_to")))
     got = segment(ticks, slice_seconds=3600).select("id", "stay", "time_from", "time_to")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_node_is_found_at_any_distance(spark):
+    """A stay of another region's vehicle, over 150 km away, and one without coordinates."""
+    from curbline.functions.geo import lv03
+    from curbline.operators.nearest import nearest_nodes
+
+    nodes = spark.createDataFrame(
+        [(3203, m, n, 9.37 + n / 1000, 47.42) for m in ("walk", "bike") for n in (1, 2)]
+        + [(351, "walk", 7, 7.44, 46.95), (230, "walk", 8, 40.0, 20.0)],
+        "city_bfs_id int, mode string, node_id bigint, lon double, lat double")
+    points = spark.createDataFrame(
+        [("far", 3203, 7.4402, 46.9501), ("near", 3203, 9.3712, 47.42), ("own", 351, 7.4402, 46.9501),
+         ("nowhere", 3203, None, None), ("off", 230, 8.7, 47.4)], "id string, city_bfs_id int, lon double, lat double")
+    x, y = lv03(F.col("lon"), F.col("lat"))
+    got = {r.id: (r.node_walk, r.node_bike) for r in
+           nearest_nodes(points.withColumns({"x": x, "y": y}), nodes, ("id", "city_bfs_id")).collect()}
+    assert got == {"far": (1, 1), "near": (1, 1), "own": (7, None), "nowhere": (None, None), "off": (None, None)}
