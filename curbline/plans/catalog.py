@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, TimestampType
 
+from curbline import schema
 from curbline.functions import geo
 from curbline.functions.timing import Interval, ts
 from curbline.operators import explore, marts, merge, paths, quality, routing, stats, stays
@@ -20,6 +21,7 @@ from curbline.regions import assign_regions
 from curbline.session import scratch_path, stage
 from curbline.sources import event_views as ev
 from curbline.sources import feeds, observations, streets
+from curbline.sources.warehouse import Warehouse
 from curbline.streaming import jobs as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +32,7 @@ LATE = Interval.of("2024-01-10", "2024-02-01")
 RUN_TIME = "2024-02-01 02:05:00"
 # A point in LV03 metres that distances are measured from.
 PLACE = (695538.0, 260803.0)
+PAGE_ROWS = 500
 
 
 def _m(column: str | Column, name: str | None = None) -> Column:
@@ -143,10 +146,12 @@ def street_clip(spark, sf_dir):
     """Edges of the clipped graph, with how many vehicle positions start nearest to them."""
     nodes = streets.clip_nodes(ev.street_nodes(spark))
     edges = streets.lightest_edges(streets.clip_edges(ev.street_edges(spark), nodes))
-    near = paths.nearest_nodes(_stays(spark, sf_dir), nodes, (*stays.VEHICLE, "stay"), ("walk",))
-    used = near.groupBy("city_bfs_id", F.col("node_walk").alias("u")).agg(F.count(F.lit(1)).alias("stays"))
-    return (edges.where("mode = 'walk'").join(used, ["city_bfs_id", "u"], "left")
-            .select("city_bfs_id", "u", "v", _m("length_m"), F.coalesce("stays", F.lit(0)).cast("bigint").alias("stays")))
+    near = paths.nearest_nodes(_stays(spark, sf_dir), nodes, (*stays.VEHICLE, "stay"))
+    snapped = near.select("city_bfs_id", F.inline(F.array(*[
+        F.struct(F.lit(m).alias("mode"), F.col(f"node_{m}").alias("u")) for m in streets.MODES])))
+    used = snapped.groupBy("city_bfs_id", "mode", "u").agg(F.count(F.lit(1)).alias("stays"))
+    return (edges.join(used, ["city_bfs_id", "mode", "u"], "left")
+            .select("city_bfs_id", "mode", "u", "v", _m("length_m"), F.coalesce("stays", F.lit(0)).cast("bigint").alias("stays")))
 
 
 def nearest_node(spark, sf_dir):
@@ -256,14 +261,52 @@ def offering_providers(spark, sf_dir):
 
 
 def stream_provider_stats(spark, sf_dir):
-    """The streamed bins that the watermark has closed when the input ends."""
-    rows = streams.provider_stats(ev.observations(spark, sf_dir, streaming=True))
-    sink = scratch_path(spark, "stream-stats")
-    (rows.writeStream.format("parquet").option("path", sink)
-     .option("checkpointLocation", scratch_path(spark, "stream-state"))
-     .trigger(availableNow=True).start().awaitTermination())
-    return spark.read.schema(rows.schema).parquet(sink).withColumn(
-        "avg_delta_updated", F.round("avg_delta_updated", 6))
+    """Every bin, streamed into the table of statistics."""
+    store = Warehouse(spark, scratch_path(spark, "stream-store"))
+    streams.provider_stats(ev.observations(spark, sf_dir, streaming=True), lambda s: ev.observations(s, sf_dir), store,
+                           scratch_path(spark, "stream-state"), available_now=True).awaitTermination()
+    return store.read(schema.PROVIDER_STATS).withColumn("avg_delta_updated", F.round("avg_delta_updated", 6))
+
+
+def stream_registry(spark, sf_dir):
+    """Every vehicle, streamed into the registry."""
+    store = Warehouse(spark, scratch_path(spark, "registry-store"))
+    streams.registry(ev.observations(spark, sf_dir, streaming=True), store,
+                     scratch_path(spark, "registry-state"), available_now=True).awaitTermination()
+    return store.read(schema.IDS)
+
+
+def registry_rerun(spark, sf_dir):
+    """Two overlapping intervals added to the stored registry, the first one twice, the second between."""
+    store = Warehouse(spark, scratch_path(spark, "rerun-store"))
+    for name, part in (("early", EARLY), ("late", LATE), ("early", EARLY)):
+        rows = stats.registry(observations.scan_sightings(ev.observations(spark, sf_dir), part))
+        store.contribute(schema.IDS, stats.one_row_per_vehicle(rows), name)
+    return store.read(schema.IDS)
+
+
+def _landed_pages(spark, sf_dir):
+    """The observations as landed page files; every seventh document has a word for a flag."""
+    rows = ev.observations(spark, sf_dir).select("id", "geometry", "properties", "_meta_runtime_utc")
+    odd = F.pmod(F.unix_seconds("_meta_runtime_utc"), F.lit(7)) == 0
+    text = F.to_json(F.struct("id", "geometry", "properties"))
+    text = F.when(odd, F.regexp_replace(text, '"available":true', '"available":"yes"')).otherwise(text)
+    # As many pages as keep one at about PAGE_ROWS documents, however many events there are.
+    pages = rows.count() // PAGE_ROWS + 1
+    page = F.pmod(F.xxhash64(text), F.lit(pages))
+    path = scratch_path(spark, "pages")
+    (rows.groupBy(page.alias("page")).agg(F.collect_list(text).alias("documents"))
+     .select("page", F.concat(F.lit("["), F.concat_ws(",\n", "documents"), F.lit("]")).alias("value"))
+     .repartition("page").write.partitionBy("page").text(path))
+    return path
+
+
+def pages_scan(spark, sf_dir):
+    """All documents of landed pages; a flag that is no flag is null and costs nothing else."""
+    rows = feeds.read_pages(spark, f"{_landed_pages(spark, sf_dir)}/*")
+    return rows.select("id", F.col("properties.id").alias("vehicle"), F.col("properties.provider.id").alias("provider"),
+                       _deg(F.col("geometry.coordinates")[0], "lon"), _deg(F.col("geometry.coordinates")[1], "lat"),
+                       F.col("properties.available").alias("available"))
 
 
 # Exploration
@@ -276,18 +319,18 @@ def explore_scan(spark, sf_dir):
 
 
 def distance_from_last_row(spark, sf_dir):
-    rows = explore.distance_from_last_row(assign_regions(_datapoints(spark, sf_dir)))
+    rows = explore.distance_from_last_row(_datapoints(spark, sf_dir))
     return rows.select("id", "time_airflow", _m("distance_m"))
 
 
 def moved_datapoints(spark, sf_dir):
-    rows = explore.moved_datapoints(assign_regions(_datapoints(spark, sf_dir)))
+    rows = explore.moved_datapoints(_datapoints(spark, sf_dir))
     return rows.select("id", "time_airflow", "time_provider", _m("distance_m"), "time_from", "time_to",
                        _m("stay_in_pos_sec"))
 
 
 def distance_from_point(spark, sf_dir):
-    rows = explore.distance_from_point(assign_regions(_datapoints(spark, sf_dir)), *PLACE)
+    rows = explore.distance_from_point(_datapoints(spark, sf_dir), *PLACE)
     return rows.select("id", "time_airflow", _m("distance_m"))
 
 
@@ -302,7 +345,7 @@ QUERIES: tuple[Query, ...] = (
     street_clip, nearest_node, shortest_path, path_table, path_vertices, path_length, mart_edges,
     mart_distinct_ids, mart_vehicle_age, trip_numbers, mart_trip_distance, upsert_replace, upsert_accumulate,
     retention_keep, rows_in_interval, not_null_report, collect_enrich, offering_providers,
-    stream_provider_stats, explore_scan, distance_from_last_row, moved_datapoints, distance_from_point, tz_convert,
+    stream_provider_stats, stream_registry, registry_rerun, pages_scan, explore_scan, distance_from_last_row, moved_datapoints, distance_from_point, tz_convert,
 )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from curbline import schema
 from curbline.functions.timing import Interval, as_utc
-from curbline.operators import marts, merge, quality, stats
+from curbline.operators import marts, quality, stats
 from curbline.operators.paths import build_paths
 from curbline.regions import REGIONS, Region
 from curbline.session import scratch_run, stage, tune
@@ -42,10 +42,10 @@ class Job:
             log.info("%s skipped: %s", name, why)
             self.status[name] = "skipped"
 
-    def _write(self, table: schema.Table, result: DataFrame, combine=None) -> None:
+    def _write(self, table: schema.Table, result: DataFrame) -> None:
         rows = stage(result, f"result-{table.name}")
         for target in self.targets:
-            target.upsert(table, rows, combine)
+            target.upsert(table, rows)
 
     def run(self, interval: Interval) -> dict[str, str]:
         """Three ETLs, the row assertion, four marts. Steps without input are skipped."""
@@ -61,11 +61,17 @@ class Job:
         self._step("path", lambda: self._paths(interval))
         self._step("provider_stats", lambda: self._provider_stats(interval))
         self._step("ids", lambda: self._registry(interval))
-        path = self.targets[0].read(schema.PATH)
+        if self.status["path"] == "skipped":
+            self.status |= dict.fromkeys(
+                ("path_rows", "mart_edges", "mart_distinct_ids", "mart_scooter_age", "mart_trip_distance"), "skipped")
+            return
+        store = self.targets[0]
+        path = store.read(schema.PATH, last=interval.end)
         self._step("path_rows", lambda: quality.assert_rows(path, interval, fail=True))
-        self._step("mart_edges", lambda: self._write(schema.MART_EDGES, marts.edges(path, interval)))
-        self._step("mart_distinct_ids", lambda: self._write(
-            schema.MART_DISTINCT_IDS, marts.distinct_vehicles(path, interval.start)))
+        self._step("mart_edges", lambda: self._write(schema.MART_EDGES, marts.edges(
+            store.read(schema.PATH, interval.start, interval.end), interval)))
+        self._step("mart_distinct_ids", lambda: self._write(schema.MART_DISTINCT_IDS, marts.distinct_vehicles(
+            store.read(schema.PATH, interval.start, interval.start), interval.start)))
         self._step("mart_scooter_age", lambda: self._write(
             schema.MART_VEHICLE_AGE, marts.vehicle_age(path, interval)))
         self._step("mart_trip_distance", lambda: self._write(
@@ -76,7 +82,7 @@ class Job:
         quality.require_rows(points, "observations")
         nodes = clip_nodes(self.street_nodes, self.regions)
         rows = stage(build_paths(points, nodes, clip_edges(self.street_edges, nodes), interval,
-                                 self.targets[0].read(schema.PATH), self.regions), "paths")
+                                 self.targets[0].read(schema.PATH, last=interval.start), self.regions), "paths")
         quality.require_rows(rows, "movement")
         quality.assert_not_null(rows)
         self._write(schema.PATH, rows)
@@ -87,15 +93,12 @@ class Job:
         self._write(schema.PROVIDER_STATS, stats.provider_stats(status))
 
     def _registry(self, interval: Interval) -> None:
-        """Adds up, so each target remembers the intervals it has seen."""
+        """Adds up over intervals; a repeat of an interval replaces what it added."""
         sightings = scans.scan_sightings(self.observations, interval, self.regions)
         quality.require_rows(sightings, "observations")
-        due = [t for t in self.targets if not t.applied("ids", interval)]
-        if not due:
-            raise quality.Skip("interval already in the registry")
         rows = stage(stats.one_row_per_vehicle(stats.registry(sightings)), "registry")
-        for target in due:
-            target.upsert_once(schema.IDS, rows, merge.accumulate, "ids", interval)
+        for target in self.targets:
+            target.contribute(schema.IDS, rows, f"{interval.start:%Y%m%dT%H%M%S}-{interval.end:%Y%m%dT%H%M%S}")
 
 
 def days(first: dt.datetime | str, last: dt.datetime | str) -> list[Interval]:
@@ -108,8 +111,20 @@ def days(first: dt.datetime | str, last: dt.datetime | str) -> list[Interval]:
     return result
 
 
+class BackfillFailed(RuntimeError):
+    """Some days failed; ``report`` tells what every day did."""
+
+    def __init__(self, report: dict[str, dict[str, str]]):
+        super().__init__(f"failed days: {[d for d, status in report.items() if 'failed' in status]}")
+        self.report = report
+
+
 def backfill(job: Job, first: dt.datetime | str, last: dt.datetime | str) -> dict[str, dict[str, str]]:
-    """Run the job once per day in order: each day is stitched to the stays of the days before."""
+    """Run the job once per day in order: each day is stitched to the stays of the days before.
+
+    A quiet day is skipped. A day that fails does not keep later ones from running; at the
+    end the failures are raised with the report of all days.
+    """
     report = {}
     for interval in days(first, last):
         try:
@@ -117,7 +132,8 @@ def backfill(job: Job, first: dt.datetime | str, last: dt.datetime | str) -> dic
         except ValueError as why:
             log.warning("%s failed: %s", interval.start, why)
             report[interval.start.isoformat()] = {**job.status, "failed": str(why)}
-            break
+    if any("failed" in status for status in report.values()):
+        raise BackfillFailed(report)
     return report
 
 

@@ -26,12 +26,22 @@ PROVIDER_FEED_DDL = "provider_id string, vehicle_type array<string>, last_update
 
 @dataclass(frozen=True)
 class Table:
-    """``partition`` is (column, expression): derived from the row, so upserts find it again."""
+    """``partition`` is (column, expression): derived from the row, so upserts find it again.
+
+    An upsert replaces all rows that share the columns ``replaces`` with an update, the key by
+    default. A table partitioned by ``part`` keeps what every run contributed; its rows are
+    those contributions added up.
+    """
 
     name: str
     ddl: str
     key: tuple[str, ...]
     partition: tuple[str, str]
+    replaces: tuple[str, ...] = ()
+
+    @property
+    def in_parts(self) -> bool:
+        return self.partition[0] == "part"
 
     @property
     def columns(self) -> list[str]:
@@ -52,12 +62,12 @@ PROVIDER_STATS = Table(
 IDS = Table(
     "ids",
     "id string, provider string, city_bfs_id int, first_seen timestamp, last_seen timestamp, datapoints bigint",
-    ("id", "city_bfs_id"), ("region", "city_bfs_id"))
+    ("id", "city_bfs_id"), ("part", "part"))
 MART_EDGES = Table(
     "mart_edges",
     f"id string, provider string, city_bfs_id int, time_from timestamp, time_to timestamp, path_idx int, "
     f"point {POINT}, point_before {POINT}, distance_m double",
-    ("id", "time_from", "path_idx"), ("day", "to_date(time_from)"))
+    ("id", "time_from", "path_idx"), ("day", "to_date(time_from)"), ("id", "time_from"))
 MART_DISTINCT_IDS = Table(
     "mart_distinct_ids",
     "provider string, city_bfs_id int, time timestamp, distinct_ids bigint",

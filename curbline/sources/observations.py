@@ -22,9 +22,13 @@ from curbline.regions import REGIONS, Region, assign_regions, in_any
 from curbline.schema import OBSERVATION_DDL
 
 
+# The landed table adds what scans prune by.
+LANDED_DDL = f"{OBSERVATION_DDL}, lon double, lat double, part string, date date"
+
+
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
-    """The landed observation table, one directory per collection date."""
-    return spark.read.schema(f"{OBSERVATION_DDL}, lon double, lat double, date date").parquet(path)
+    """The landed observation table, one directory per part and collection date."""
+    return spark.read.schema(LANDED_DDL).parquet(path).drop("part")
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -2,24 +2,23 @@
 
 A table is a directory partitioned by a column derived from its rows, so that an upsert
 reads and rewrites only the partitions its updates touch. Every merge is staged in full
-before a partition is overwritten: a run that dies can be repeated.
+before a partition is overwritten: a run that dies can be repeated. Tables that add up over
+runs keep one partition per run and are added up when read.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.functions.timing import Interval, ts
-from curbline.operators import merge
+from curbline.functions.timing import day
+from curbline.operators import merge, stats
 from curbline.schema import TABLES, Table
-from curbline.session import hadoop_path, scratch_path, stage
-
-LOG_DDL = "step string, start timestamp, end timestamp, batch bigint, state string, staged string"
-Combine = Callable[[DataFrame, DataFrame], DataFrame]
+from curbline.session import hadoop_path, stage
 
 
 class Warehouse:
@@ -44,16 +43,27 @@ class Warehouse:
 
     def _full_ddl(self, table: Table) -> str:
         name, expression = table.partition
-        kind = "date" if expression.startswith("to_date") else "int" if name == "region" else "bigint"
+        kind = "date" if expression.startswith("to_date") else "string" if table.in_parts else "bigint"
         return f"{table.ddl}, {name} {kind}"
 
     def _with_partition(self, table: Table, df: DataFrame) -> DataFrame:
         name, expression = table.partition
         return df.select(*table.columns).withColumn(name, F.expr(expression))
 
-    def read(self, table: Table, keep_partition: bool = False) -> DataFrame:
-        df = self.spark.read.schema(self._full_ddl(table)).parquet(self.path(table))
-        return df if keep_partition else df.drop(table.partition[0])
+    def _stored(self, table: Table) -> DataFrame:
+        return self.spark.read.schema(self._full_ddl(table)).parquet(self.path(table))
+
+    def read(self, table: Table, first: dt.datetime | None = None, last: dt.datetime | None = None) -> DataFrame:
+        """The rows of a table; of one partitioned by day only the days from ``first`` to
+        ``last``, both in."""
+        df = self._stored(table)
+        if table.in_parts:
+            return stats.one_row_per_vehicle(df.select(*table.columns))
+        if first is not None:
+            df = df.where(F.col(table.partition[0]) >= day(first))
+        if last is not None:
+            df = df.where(F.col(table.partition[0]) <= day(last))
+        return df.drop(table.partition[0])
 
     def _overwrite(self, table: Table, df: DataFrame) -> None:
         """Replace exactly the partitions that ``df`` has rows of."""
@@ -63,8 +73,10 @@ class Warehouse:
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(name)
          .parquet(self.path(table)))
 
-    def _merge(self, table: Table, updates: DataFrame, combine: Combine | None) -> DataFrame | None:
-        """The touched partitions after the merge; None when there are no updates."""
+    def upsert(self, table: Table, updates: DataFrame) -> None:
+        """Merge ``updates`` into the table: stored rows they replace go."""
+        if table.in_parts:
+            raise ValueError(f"{table.name} adds up: use contribute")
         self.create(table)
         name, _ = table.partition
         rows = stage(self._with_partition(table, updates), f"updates-{table.name}")
@@ -72,82 +84,55 @@ class Warehouse:
         # One value per touched day, region or bucket.
         touched = [r[0] for r in rows.select(name).distinct().collect()]
         if not touched:
-            return None
-        current = self.read(table, keep_partition=True).where(F.col(name).isin(touched))
-        return combine(current, rows) if combine else merge.replace(current, rows, table.key)
-
-    def upsert(self, table: Table, updates: DataFrame, combine: Combine | None = None) -> None:
-        """Merge ``updates`` into the table by its key; by default rows are replaced."""
-        merged = self._merge(table, updates, combine)
-        if merged is not None:
-            self._overwrite(table, stage(merged, f"merged-{table.name}"))
+            return
+        current = self._stored(table).where(F.col(name).isin(touched))
+        merged = merge.replace(current, rows, table.replaces or table.key)
+        self._overwrite(table, stage(merged, f"merged-{table.name}"))
 
     def delete_older(self, table: Table, column: str, delete_before: dt.date | str,
                      city_bfs_id: int | None = None) -> None:
-        """Delete rows by date of ``column``; partitions left without rows are removed."""
+        """Delete rows by date of ``column``; partitions left without rows are removed. A row
+        that is a sum goes with all that was added up for it."""
         name, _ = table.partition
-        stored = self.read(table, keep_partition=True)
+        stored = self._stored(table)
         gone = merge.expired(column, delete_before, city_bfs_id)
-        touched = [r[0] for r in stored.where(gone).select(name).distinct().collect()]
+        keys = list(table.key)
+        expired = stage(self.read(table).where(gone).select(*keys), f"expired-{table.name}") if table.in_parts else None
+        hit = stored.where(gone) if expired is None else stored.join(expired, keys, "left_semi")
+        touched = [r[0] for r in hit.select(name).distinct().collect()]
         if not touched:
             return
-        kept = stage(merge.retain(stored.where(F.col(name).isin(touched)), column, delete_before, city_bfs_id),
-                     f"kept-{table.name}")
+        rows = stored.where(F.col(name).isin(touched))
+        kept = stage(merge.retain(rows, column, delete_before, city_bfs_id) if expired is None
+                     else rows.join(expired, keys, "left_anti").select(*stored.columns), f"kept-{table.name}")
         left = {r[0] for r in kept.select(name).distinct().collect()}
         self._overwrite(table, kept)
         for value in set(touched) - left:
             folder, files = hadoop_path(self.spark, f"{self.path(table)}/{name}={value}")
             files.delete(folder, True)
 
-    # Merges that add up must not run twice. The merged partitions are staged and logged
-    # before they are moved in, and logged again afterwards; a repeat after a crash moves
-    # the same staged rows in once more instead of adding them again.
-
-    def _log(self, step: str, interval: Interval | None, batch: int | None) -> DataFrame:
-        path = f"{self.root}/applied"
-        log = (self.spark.read.schema(LOG_DDL).parquet(path) if self._exists(path)
-               else self.spark.createDataFrame([], LOG_DDL))
-        log = log.where(F.col("step") == step)
-        if interval is not None:
-            log = log.where((F.col("start") == ts(interval.start)) & (F.col("end") == ts(interval.end)))
-        return log if batch is None else log.where(F.col("batch") == batch)
-
-    def _record(self, step: str, interval: Interval | None, batch: int | None, state: str, staged: str) -> None:
-        none = F.lit(None).cast("timestamp")
-        (self.spark.range(1).select(
-            F.lit(step).alias("step"), (ts(interval.start) if interval else none).alias("start"),
-            (ts(interval.end) if interval else none).alias("end"), F.lit(batch).cast("bigint").alias("batch"),
-            F.lit(state).alias("state"), F.lit(staged).alias("staged"))
-         .write.mode("append").parquet(f"{self.root}/applied"))
-
-    def applied(self, step: str, interval: Interval | None = None, batch: int | None = None) -> bool:
-        return not self._log(step, interval, batch).where("state = 'applied'").isEmpty()
-
-    def upsert_once(self, table: Table, updates: DataFrame, combine: Combine, step: str,
-                    interval: Interval | None = None, batch: int | None = None) -> bool:
-        """``upsert`` for the named step and interval or batch; False if it was applied before."""
-        if self.applied(step, interval, batch):
-            return False
-        prepared = self._log(step, interval, batch).where("state = 'prepared'").select("staged").head()
-        if prepared is None:
-            merged = self._merge(table, updates, combine)
-            staged = scratch_path(self.spark, f"prepared-{table.name}")
-            if merged is None:
-                merged = self.read(table, keep_partition=True).limit(0)
-            merged.write.parquet(staged)
-            self._record(step, interval, batch, "prepared", staged)
-        else:
-            staged = prepared["staged"]
-        rows = self.spark.read.schema(self._full_ddl(table)).parquet(staged)
-        if not rows.isEmpty():
-            self._overwrite(table, rows)
-        self._record(step, interval, batch, "applied", staged)
-        return True
-
-
-def append_observations(observations: DataFrame, path: str) -> None:
-    """Append documents, with the top-level columns that later scans prune by."""
-    with_scan_columns(observations).hint("rebalance", F.col("date")).write.mode("append").partitionBy("date").parquet(path)
+    def contribute(self, table: Table, rows: DataFrame, part: str) -> None:
+        """Set what the named run contributes to a table that adds up.
+
+        A repeat of the run replaces its own part and no other, whatever ran in between, so
+        nothing is counted twice and nothing of other runs is lost.
+        """
+        if not re.fullmatch(r"[\w.-]+", part):
+            raise ValueError(f"no name for a part: {part!r}")
+        self.create(table)
+        staged = stage(rows.select(*table.columns), f"part-{table.name}")
+        merge.assert_unique(staged, table.key)
+        staged.write.mode("overwrite").parquet(f"{self.path(table)}/part={part}")
+
+
+def append_observations(observations: DataFrame, path: str, part: str | None = None) -> None:
+    """Append documents, with the top-level columns that later scans prune by.
+
+    With ``part``, a repeat of the same part replaces it instead of adding its rows again.
+    """
+    folder = f"{path}/part={part or uuid.uuid4().hex}"
+    (with_scan_columns(observations).hint("rebalance", F.col("date")).write.mode("overwrite").partitionBy("date")
+     .parquet(folder))
 
 
 def with_scan_columns(observations: DataFrame) -> DataFrame:

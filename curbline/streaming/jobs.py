@@ -1,71 +1,93 @@
-"""Streaming jobs. Each returns a DataFrame or a started query; state is bounded by watermarks."""
+"""Streaming jobs. Each returns a started query that keeps no state but its read offsets: a
+micro-batch is written under keys or names that a repeat writes again."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from curbline import schema
-from curbline.operators import merge, stats
+from curbline.operators import stats
 from curbline.plans.collect import enrich
 from curbline.regions import REGIONS, Region
-from curbline.session import scratch_run
-from curbline.sources.feeds import stream_pages
-from curbline.sources.observations import scan_sightings, scan_status
-from curbline.sources.warehouse import Warehouse, with_scan_columns
+from curbline.session import broadcast_if_small, scratch_run, stage
+from curbline.sources.feeds import read_provider_feed, stream_pages
+from curbline.sources.observations import LANDED_DDL, scan_sightings, scan_status
+from curbline.sources.warehouse import Warehouse, append_observations
 
-LATENESS = "10 minutes"
+# A broadcast bin takes about this many bytes in a hash relation.
+BIN_BYTES = 60
 
 
 def stream_observations(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """The landed observation table as a stream."""
-    return (spark.readStream.schema(f"{schema.OBSERVATION_DDL}, lon double, lat double, date date")
-            .option("maxFilesPerTrigger", files_per_batch).parquet(path))
+    return (spark.readStream.schema(LANDED_DDL).option("maxFilesPerTrigger", files_per_batch).parquet(path).drop("part"))
 
 
-def collect(spark: SparkSession, pages: str, feed: DataFrame, sink: str, checkpoint: str,
+def _start(rows: DataFrame, apply: Callable[[DataFrame, str], None], checkpoint: str, available_now: bool,
+           every: str) -> StreamingQuery:
+    """Run ``apply`` on every micro-batch with a name that a repeat of the batch gets again: the
+    identity that the checkpoint keeps for its query, and the batch number."""
+
+    def run(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        query = session.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+        with scratch_run(session):
+            apply(batch, f"{query}-{number}")
+
+    writer = rows.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)).start()
+
+
+def collect(spark: SparkSession, pages: str, feed: str, sink: str, checkpoint: str,
             available_now: bool = False) -> StreamingQuery:
-    """Landed page files to the observation table, each file exactly once."""
-    rows = with_scan_columns(enrich(stream_pages(spark, pages), feed, F.current_timestamp()))
-    writer = (rows.writeStream.format("parquet").partitionBy("date")
-              .option("path", sink).option("checkpointLocation", checkpoint))
-    return (writer.trigger(availableNow=True) if available_now
-            else writer.trigger(processingTime="2 minutes")).start()
+    """Landed page files to the observation table, each file once. The provider feed is read
+    from its path anew for every micro-batch, so refresh times and new providers are seen."""
 
+    def apply(batch: DataFrame, name: str) -> None:
+        session = batch.sparkSession
+        rows = enrich(batch, read_provider_feed(session, feed), F.current_timestamp())
+        append_observations(rows, sink, name)
 
-def provider_stats(observations: DataFrame, regions: Sequence[Region] = REGIONS,
-                   lateness: str = LATENESS) -> DataFrame:
-    """Two-minute provider statistics with exact distinct vehicles.
+    return _start(stream_pages(spark, pages), apply, checkpoint, available_now, "2 minutes")
 
-    The first aggregation keeps one state row per vehicle and bin, the second adds them up
-    per provider when the watermark has closed the bin. A provider with many vehicles is
-    thereby spread over the state store by vehicle.
+
+def provider_stats(observations: DataFrame, stored: Callable[[SparkSession], DataFrame], target: Warehouse,
+                   checkpoint: str, regions: Sequence[Region] = REGIONS, available_now: bool = False) -> StreamingQuery:
+    """Two-minute provider statistics: the bins that a micro-batch has rows in are computed
+    again from the ``stored`` table the stream reads, and upserted.
+
+    There is no watermark: a bin is written when its first rows come and mended by late ones.
+    A batch reads the stored days it touches, not the whole table.
     """
-    status = scan_status(observations, None, regions).withWatermark("runtime", lateness)
-    per_vehicle = status.groupBy(F.window("runtime", stats.BIN).alias("bin"), "provider", "city_bfs_id", "id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("delta_updated").alias("delta"), F.sum("available").alias("available"),
-        F.sum("disabled").alias("disabled"), F.sum("reserved").alias("reserved"))
-    per_bin = per_vehicle.groupBy("bin", "provider", "city_bfs_id").agg(
-        F.sum("n").alias("count_datapoints"), F.count(F.lit(1)).alias("count_distinct_ids"),
-        (F.sum("delta") / F.sum("n")).alias("avg_delta_updated"), F.sum("available").alias("count_available"),
-        F.sum("disabled").alias("count_disabled"), F.sum("reserved").alias("count_reserved"))
-    return per_bin.select(F.col("bin.start").alias("time"), "provider", "city_bfs_id", "count_datapoints",
-                          "count_distinct_ids", "avg_delta_updated", "count_available", "count_disabled",
-                          "count_reserved")
-
-
-def registry(observations: DataFrame, target: Warehouse, checkpoint: str, name: str = "stream-ids",
-             regions: Sequence[Region] = REGIONS, available_now: bool = False) -> StreamingQuery:
-    """Merge each micro-batch into the registry once: applied batch numbers are remembered."""
-
-    def apply(batch: DataFrame, number: int) -> None:
-        warehouse = Warehouse(batch.sparkSession, target.root)
+
+    def apply(batch: DataFrame, name: str) -> None:
+        session = batch.sparkSession
+        at = F.col("_meta_runtime_utc")
+        bins = stage(batch.select(F.window(at, stats.BIN).start.alias("bin")).where("bin IS NOT NULL").distinct(), "bins")
+        # One value per touched day.
+        days = [r[0] for r in bins.select(F.to_date("bin")).distinct().collect()]
+        rows = stored(session)
+        if "date" in rows.columns:
+            rows = rows.where(F.col("date").isin(days))
+        touched = (rows.withColumn("bin", F.window(at, stats.BIN).start)
+                   .join(broadcast_if_small(bins, BIN_BYTES), "bin", "left_semi").drop("bin"))
+        Warehouse(session, target.root).upsert(
+            schema.PROVIDER_STATS, stats.provider_stats(scan_status(touched, None, regions)))
+
+    return _start(observations, apply, checkpoint, available_now, "2 minutes")
+
+
+def registry(observations: DataFrame, target: Warehouse, checkpoint: str, regions: Sequence[Region] = REGIONS,
+             available_now: bool = False, every: str = "1 hour") -> StreamingQuery:
+    """Add each micro-batch to the registry as a part of its own. Parts are added up when the
+    registry is read, so batches are large by default."""
+
+    def apply(batch: DataFrame, name: str) -> None:
         rows = stats.one_row_per_vehicle(stats.registry(scan_sightings(batch, None, regions)))
-        with scratch_run(batch.sparkSession):
-            warehouse.upsert_once(schema.IDS, rows, merge.accumulate, name, batch=number)
+        Warehouse(batch.sparkSession, target.root).contribute(schema.IDS, rows, name)
 
-    writer = observations.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    return _start(observations, apply, checkpoint, available_now, every)

@@ -11,7 +11,7 @@ from curbline import schema
 from curbline.functions.timing import Interval, ts
 from curbline.operators import stats
 from curbline.plans.collect import enrich
-from curbline.plans.interval_job import Job, backfill, days, session_job
+from curbline.plans.interval_job import BackfillFailed, Job, backfill, days, session_job
 from curbline.sources import feeds
 from curbline.sources.observations import read_observations, scan_sightings, scan_status
 from curbline.sources.warehouse import Warehouse, append_observations
@@ -63,14 +63,62 @@ def test_unknown_provider_fails(spark, landed):
         enrich(feeds.read_pages(spark, str(pages)), feeds.read_provider_feed(spark, str(feed)), ts(RUN)).collect()
 
 
+def test_unknown_provider_fails_whatever_is_read(spark, landed):
+    pages, feed = landed
+    (pages / "p5.json").write_text(json.dumps([vehicle(5, "stranger")]))
+    with pytest.raises(Exception, match="provider not in feed: stranger"):
+        enrich(feeds.read_pages(spark, str(pages)), feeds.read_provider_feed(spark, str(feed)), ts(RUN)).count()
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_odd_document_costs_only_itself(spark, tmp_path, order):
+    odd = vehicle(2)
+    odd["properties"]["available"] = "yes"
+    (tmp_path / "p1.json").write_text(json.dumps([vehicle(1), odd][::order], indent=1))
+    (tmp_path / "p2.json").write_text(json.dumps([5, None, {"geometry": None}]))
+    (tmp_path / "p3.json").write_text("no json")
+    (tmp_path / "p4.json").write_text("")
+    got = {r.id: r.properties.available if r.properties else None for r in feeds.read_pages(spark, str(tmp_path)).collect()}
+    assert got == {"bolt:1": True, "bolt:2": None, None: None}
+    rejected = {r.file[-7:]: (r.no_array, r.strange_documents) for r in feeds.rejected_pages(spark, str(tmp_path)).collect()}
+    assert rejected == {"p2.json": (False, 2), "p3.json": (True, 0)}
+
+
+def test_latest_feed_row_counts(spark, landed):
+    pages, feed = landed
+    rows = json.loads(feed.read_text())
+    feed.write_text(json.dumps(rows + [{**rows[0], "last_updated": 1672567500}]))
+    got = enrich(feeds.read_pages(spark, str(pages)), feeds.read_provider_feed(spark, str(feed)), ts(RUN)).collect()
+    assert {r.id: r._meta_last_updated_utc.minute for r in got} == {"bolt:1": 5, "bolt:2": 5, "voi:3": 1}
+
+
 def test_streamed_collection(spark, landed, tmp_path):
+    """The feed is read anew in every batch: a later refresh, and a provider that was not there."""
     pages, feed = landed
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    (folder / "1.json").write_text(feed.read_text())
     sink, state = str(tmp_path / "obs"), str(tmp_path / "state")
-    providers = feeds.read_provider_feed(spark, str(feed))
-    jobs.collect(spark, str(pages), providers, sink, state, available_now=True).awaitTermination()
-    (pages / "p6.json").write_text(json.dumps([vehicle(6)]))
-    jobs.collect(spark, str(pages), providers, sink, state, available_now=True).awaitTermination()
-    assert sorted(r.id for r in read_observations(spark, sink).collect()) == ["bolt:1", "bolt:2", "bolt:6", "voi:3"]
+    query = jobs.collect(spark, str(pages), str(folder), sink, state)
+    try:
+        query.processAllAvailable()
+        (folder / "2.json").write_text(json.dumps([
+            {"provider_id": "bolt", "vehicle_type": ["E-Scooter"], "last_updated": 1672567500},
+            {"provider_id": "new", "vehicle_type": ["E-Scooter"], "last_updated": 1672567560}]))
+        (pages / "p6.json").write_text(json.dumps([vehicle(6), vehicle(7, "new")]))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    got = {r.id: r._meta_last_updated_utc.minute for r in read_observations(spark, sink).collect()}
+    assert got == {"bolt:1": 0, "bolt:2": 0, "voi:3": 1, "bolt:6": 5, "new:7": 6}
+
+
+def test_repeated_batch_replaces_its_part(spark, tmp_path):
+    table = str(tmp_path / "obs")
+    for _ in range(2):
+        append_observations(track_documents(spark), table, "query-0")
+    append_observations(track_documents(spark), table)
+    assert read_observations(spark, table).count() == 2 * track_documents(spark).count()
 
 
 def track_documents(spark, days_=("2023-01-01",), vehicles=("bolt:1", "bolt:2")):
@@ -90,14 +138,20 @@ def track_documents(spark, days_=("2023-01-01",), vehicles=("bolt:1", "bolt:2"))
 def test_streamed_statistics_equal_batch(spark, tmp_path):
     table = str(tmp_path / "obs")
     append_observations(track_documents(spark), table)
+    store = Warehouse(spark, str(tmp_path / "store"))
+
+    def stream():
+        jobs.provider_stats(jobs.stream_observations(spark, table, 1), lambda s: read_observations(s, table), store,
+                            str(tmp_path / "state"), available_now=True).awaitTermination()
+
     append_observations(track_documents(spark, ("2023-01-02",)), table)
-    sink = str(tmp_path / "sink")
-    rows = jobs.provider_stats(jobs.stream_observations(spark, table))
-    (rows.writeStream.format("parquet").option("path", sink).option("checkpointLocation", str(tmp_path / "state"))
-     .trigger(availableNow=True).start().awaitTermination())
-    closed = dt.datetime(2023, 1, 2, 2, 40, 25) - dt.timedelta(minutes=12)
-    batch = stats.provider_stats(scan_status(read_observations(spark, table))).where(F.col("time") <= F.lit(closed))
-    assert sorted(map(tuple, spark.read.schema(rows.schema).parquet(sink).collect())) == sorted(map(tuple, batch.collect()))
+    stream()
+    # Rows of a day that is long over mend its bins.
+    append_observations(track_documents(spark, vehicles=("bolt:3",)), table)
+    stream()
+    batch = stats.provider_stats(scan_status(read_observations(spark, table)))
+    got = sorted(map(tuple, store.read(schema.PROVIDER_STATS).collect()))
+    assert got == sorted(map(tuple, batch.collect())) and {r[4] for r in got} == {2, 3}
 
 
 def test_streamed_registry_equals_batch(spark, tmp_path):
@@ -125,16 +179,32 @@ def test_interval_job(spark, streets, tmp_path):
     before = {t.name: sorted(map(str, first.read(t).collect())) for t in schema.TABLES}
     assert before == {t.name: sorted(map(str, second.read(t).collect())) for t in schema.TABLES}
     again = job.run(days("2023-01-02 00:05:00", "2023-01-03 00:05:00")[0])
-    assert again["ids"] == "skipped" and again["path"] == "done"
+    assert set(again.values()) == {"done"}
     assert before == {t.name: sorted(map(str, first.read(t).collect())) for t in schema.TABLES}
 
 
 def test_day_without_rows(spark, streets, tmp_path):
+    """A quiet day is skipped, and the day after it is run."""
+    store = Warehouse(spark, str(tmp_path / "store"))
+    job = Job(track_documents(spark, ("2023-01-01", "2023-01-03")), *streets, [store])
+    report = backfill(job, "2023-01-01 00:05:00", "2023-01-04 00:05:00")
+    assert [set(s.values()) for s in report.values()] == [{"done"}, {"skipped"}, {"done"}]
+    assert {d.day for (d,) in store.read(schema.PATH).select(F.to_date("time_from")).distinct().collect()} >= {1, 3}
+
+
+def test_failed_day_is_raised_at_the_end(spark, streets, tmp_path, monkeypatch):
     job = Job(track_documents(spark), *streets, [Warehouse(spark, str(tmp_path / "store"))])
-    report = backfill(job, "2022-12-01", "2022-12-03")
-    assert len(report) == 1
-    status = next(iter(report.values()))
-    assert status["path"] == status["ids"] == "skipped" and "no path rows" in status["failed"]
+    ran = []
+
+    def run(interval):
+        ran.append(interval.start.day)
+        if interval.start.day == 1:
+            raise ValueError("no good")
+        return {"path": "done"}
+    monkeypatch.setattr(job, "run", run)
+    with pytest.raises(BackfillFailed, match="2023-01-01") as failure:
+        backfill(job, "2023-01-01", "2023-01-03")
+    assert ran == [1, 2] and [s.get("failed") for s in failure.value.report.values()] == ["no good", None]
 
 
 def test_job_over_stored_tables(spark, streets, tmp_path):

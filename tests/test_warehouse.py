@@ -80,28 +80,57 @@ def test_provider_change_folds_to_one_row(spark):
 
 def test_once_only(spark, store):
     rows = ids(spark, [("x", "p", 1, 2, 3)])
-    assert store.upsert_once(schema.IDS, rows, merge.accumulate, "ids", INTERVAL)
-    assert not store.upsert_once(schema.IDS, rows, merge.accumulate, "ids", INTERVAL)
-    assert store.upsert_once(schema.IDS, rows, merge.accumulate, "ids", Interval.of("2023-01-02", "2023-01-03"))
-    assert [r.datapoints for r in store.read(schema.IDS).collect()] == [6]
+    for part, total in (("first", 3), ("first", 3), ("second", 6)):
+        store.contribute(schema.IDS, rows, part)
+        assert [r.datapoints for r in store.read(schema.IDS).collect()] == [total]
+    with pytest.raises(ValueError, match="adds up"):
+        store.upsert(schema.IDS, rows)
+    with pytest.raises(ValueError, match="no name"):
+        store.contribute(schema.IDS, rows, "a/b")
 
 
-@pytest.mark.parametrize("moved_in", [False, True])
-def test_once_only_after_a_crash(spark, store, monkeypatch, moved_in):
-    rows = ids(spark, [("x", "p", 1, 2, 3)])
-    store.upsert(schema.IDS, rows, merge.accumulate)
-    original = Warehouse._overwrite
+def test_run_repeated_after_another_one(spark, store, monkeypatch):
+    """A dies, B runs, A is repeated: both count, each once."""
+    first, second = ids(spark, [("a", "p", 1, 2, 1)]), ids(spark, [("a", "q", 3, 4, 2), ("b", "p", 3, 3, 5)])
+    original = module.merge.assert_unique
 
-    def crash(self, table, df):
-        if moved_in:
-            original(self, table, df)
+    def crash(df, keys):
         raise OSError("lost")
-    monkeypatch.setattr(module.Warehouse, "_overwrite", crash)
+    monkeypatch.setattr(module.merge, "assert_unique", crash)
     with pytest.raises(OSError):
-        store.upsert_once(schema.IDS, rows, merge.accumulate, "ids", INTERVAL)
-    monkeypatch.setattr(module.Warehouse, "_overwrite", original)
-    store.upsert_once(schema.IDS, rows, merge.accumulate, "ids", INTERVAL)
-    assert [r.datapoints for r in store.read(schema.IDS).collect()] == [6]
+        store.contribute(schema.IDS, first, "A")
+    monkeypatch.setattr(module.merge, "assert_unique", original)
+    for rows, part in ((second, "B"), (first, "A"), (first, "A")):
+        store.contribute(schema.IDS, rows, part)
+    got = {r.id: (r.provider, r.first_seen.day, r.last_seen.day, r.datapoints) for r in store.read(schema.IDS).collect()}
+    assert got == {"a": ("q", 1, 4, 3), "b": ("p", 3, 3, 5)}
+    store.contribute(schema.IDS, first.limit(0), "A")
+    assert {r.id: r.datapoints for r in store.read(schema.IDS).collect()} == {"a": 2, "b": 5}
+
+
+def test_retention_of_sums(spark, store):
+    """A vehicle goes when it was last seen too long ago, not the older parts of a living one."""
+    store.contribute(schema.IDS, ids(spark, [("a", "p", 1, 2, 1), ("b", "p", 1, 2, 4)]), "one")
+    store.contribute(schema.IDS, ids(spark, [("a", "p", 8, 9, 2)]), "two")
+    store.delete_older(schema.IDS, "last_seen", "2023-01-05")
+    assert [(r.id, r.first_seen.day, r.datapoints) for r in store.read(schema.IDS).collect()] == [("a", 1, 3)]
+
+
+def test_shorter_path_leaves_no_tail(spark, store):
+    def edges(*numbers):
+        at = dt.datetime(2023, 1, 1)
+        return spark.createDataFrame([("a", "p", 230, at, at, n, (8.7, 47.4), None, 1.0) for n in numbers], schema.MART_EDGES.ddl)
+    store.upsert(schema.MART_EDGES, edges(1, 2, 3))
+    store.upsert(schema.MART_EDGES, edges(1, 2))
+    assert sorted(r.path_idx for r in store.read(schema.MART_EDGES).collect()) == [1, 2]
+
+
+def test_scans_open_the_days_asked_for(spark, store):
+    store.upsert(schema.MART_DISTINCT_IDS, distinct_rows(spark, [("a", d, d) for d in range(1, 11)]))
+    df = store.read(schema.MART_DISTINCT_IDS, dt.datetime(2023, 1, 3), dt.datetime(2023, 1, 4, 12))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    assert len(df.inputFiles()) == 10 and sorted(r.distinct_ids for r in df.collect()) == [3, 4]
 
 
 def test_retention(spark, store):
