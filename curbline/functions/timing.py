@@ -59,7 +59,8 @@ def days_between(earlier: Column, later: Column) -> Column:
 
 
 def same_day_range(column: Column, moment: dt.datetime | str) -> Column:
-    """Calendar-day equality written as a half-open range, so that scans can prune."""
+    """Calendar-day equality written as a half-open range; row groups prune by it, partitions by
+    the days that ``Warehouse.read`` is given."""
     start = as_utc(moment).replace(hour=0, minute=0, second=0, microsecond=0)
     return (column >= ts(start)) & (column < ts(start + dt.timedelta(days=1)))
 
