@@ -81,7 +81,10 @@ def region_counts(spark, sf_dir):
 
 
 def observation_dedup(spark, sf_dir):
-    return stays.distinct_observations(_points(spark, sf_dir)).select(
+    """Every refresh is seen twice, by the second run at another place; the first run's row stays."""
+    once = _points(spark, sf_dir)
+    again = once.withColumns({"runtime": F.col("runtime") + F.expr("interval 2 minutes"), "lon": F.col("lon") + 0.001})
+    return stays.distinct_observations(once.unionByName(again)).select(
         "city_bfs_id", "id", "provider", "time", _deg("lon"), _deg("lat"))
 
 
@@ -201,6 +204,11 @@ def mart_distinct_ids(spark, sf_dir):
     return marts.distinct_vehicles(_path(spark, sf_dir))
 
 
+def mart_distinct_ids_day(spark, sf_dir):
+    """One calendar day, as the daily job writes it."""
+    return marts.distinct_vehicles(_path(spark, sf_dir), ev.MID_JANUARY.start)
+
+
 def mart_vehicle_age(spark, sf_dir):
     return marts.vehicle_age(_path(spark, sf_dir), ev.JANUARY).withColumn(
         "avg_age_days_scooter", F.round("avg_age_days_scooter", 6))
@@ -343,7 +351,7 @@ QUERIES: tuple[Query, ...] = (
     provider_stats, vehicle_registry, vehicle_list, observation_scan, region_counts, observation_dedup,
     reproject_lv03, reproject_mercator, step_distance, stay_segments, history_top2, stays_incremental,
     street_clip, nearest_node, shortest_path, path_table, path_vertices, path_length, mart_edges,
-    mart_distinct_ids, mart_vehicle_age, trip_numbers, mart_trip_distance, upsert_replace, upsert_accumulate,
+    mart_distinct_ids, mart_distinct_ids_day, mart_vehicle_age, trip_numbers, mart_trip_distance, upsert_replace, upsert_accumulate,
     retention_keep, rows_in_interval, not_null_report, collect_enrich, offering_providers,
     stream_provider_stats, stream_registry, registry_rerun, pages_scan, explore_scan, distance_from_last_row, moved_datapoints, distance_from_point, tz_convert,
 )

@@ -234,7 +234,10 @@ def oracles() -> dict[str, str]:
   round(lon, 6) AS lon, round(lat, 6) AS lat FROM pts""")
     q["region_counts"] = _with(OBS + _EXPLORED, """SELECT city_bfs_id, count(*) AS datapoints,
   count(DISTINCT id) AS vehicles FROM seen GROUP BY 1""")
-    q["observation_dedup"] = _with(_points() + _steps(), """SELECT city_bfs_id, id, provider, time,
+    q["observation_dedup"] = _with(_points() + """,
+twice AS (SELECT * FROM pts UNION ALL
+  SELECT * REPLACE (runtime + INTERVAL 2 MINUTE AS runtime, lon + 0.001e0 AS lon) FROM pts)""" + _steps("twice"),
+                                   """SELECT city_bfs_id, id, provider, time,
   round(lon, 6) AS lon, round(lat, 6) AS lat FROM one""")
     q["reproject_lv03"] = _with(_points(), f"""SELECT city_bfs_id, id, time, round({_X}, 3) AS x, round({_Y}, 3) AS y,
   round({blon}, 6) AS lon_back, round({blat}, 6) AS lat_back FROM pts""")
@@ -285,6 +288,8 @@ linked AS (SELECT *, lag(lon) OVER w AS lon_before, lag(lat) OVER w AS lat_befor
   round({_planar(here, before)}, 3) AS distance_m FROM linked""")
     q["mart_distinct_ids"] = _with(_path(), """SELECT provider, city_bfs_id, date_trunc('day', time_from)::TIMESTAMP AS time,
   count(DISTINCT id) AS distinct_ids FROM path GROUP BY 1, 2, 3""")
+    q["mart_distinct_ids_day"] = _with(_path(), """SELECT provider, city_bfs_id, TIMESTAMP '2024-01-16' AS time,
+  count(DISTINCT id) AS distinct_ids FROM path WHERE time_from::DATE = DATE '2024-01-16' GROUP BY 1, 2""")
     q["mart_vehicle_age"] = _with(_path() + """,
 lives AS (SELECT id, provider, city_bfs_id, min(time_from) AS born, max(time_to) AS died FROM path GROUP BY 1, 2, 3),
 marks AS (SELECT provider, city_bfs_id, born, died,
