@@ -139,24 +139,29 @@ def _shares_of(logits: np.ndarray) -> np.ndarray:
 def _step(table: np.ndarray, squares: np.ndarray, touched: np.ndarray, rows: np.ndarray, error: np.ndarray, rate: float) -> None:
     """One gradient step: adds up the error by weight row and moves each row by its own scale."""
     order = np.argsort(rows.astype(np.uint16) if len(table) <= 1 << 16 else rows, kind="stable")
-    ordered, ones = rows[order], np.ones(len(rows), np.float32)
+    ordered, ones = rows.take(order), np.ones(len(rows), np.float32)
     starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
     sizes = np.diff(np.append(starts, len(rows)))
-    sums = error.take(order[starts], axis=0)
+    sums = error.take(order.take(starts), axis=0)
     # Most rows of rare features come once; only the others have to be added up.
+    open_ = np.flatnonzero(sizes > 1)
     for size in range(2, 9):
-        some = np.flatnonzero(sizes >= size)
-        if not len(some):
+        if not len(open_):
             break
-        more = error.take(order[starts[some] + size - 1], axis=0)
-        sums[some] += more
-    long = np.flatnonzero(sizes > 8)
-    for k in long.tolist():
+        sums[open_] += error.take(order.take(starts.take(open_) + (size - 1)), axis=0)
+        open_ = open_[sizes.take(open_) > size]
+    for k in open_.tolist():
         sums[k] = ones[:sizes[k]] @ error.take(order[starts[k]:starts[k] + sizes[k]], axis=0)
-    at = ordered[starts]
-    squares[at] += np.einsum("ij,ij->i", sums, sums)
+    at = ordered.take(starts)
+    scale = squares.take(at) + np.einsum("ij,ij->i", sums, sums)
+    squares[at] = scale
     touched[at] += sizes
-    table[at] -= (np.float32(rate) / np.sqrt(squares[at] + np.float32(DAMPING)))[:, None] * sums
+    sums *= (np.float32(rate) / np.sqrt(scale + np.float32(DAMPING)))[:, None]
+    moved = table.take(at, axis=0)
+    moved -= sums
+    # A row is set as one value, which numpy copies faster than a row of numbers.
+    whole = np.dtype((np.void, table.strides[0]))
+    table.view(whole)[at, 0] = moved.view(whole)[:, 0]
 
 
 class Scorer:
