@@ -16,7 +16,9 @@ from curbline import schema
 from curbline.functions import geo
 from curbline.functions.timing import Interval, ts
 from curbline.operators import explore, marts, merge, paths, quality, routing, stats, stays
+from curbline.plans import stored
 from curbline.plans.collect import enrich
+from curbline.plans.stored import EARLY, FIRST_PART, LATE
 from curbline.regions import assign_regions
 from curbline.session import scratch_path, stage
 from curbline.sources import event_views as ev
@@ -26,13 +28,9 @@ from curbline.streaming import jobs as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-FIRST_PART = Interval.of("2024-01-01", "2024-01-16")
-EARLY = Interval.of("2024-01-01", "2024-01-20")
-LATE = Interval.of("2024-01-10", "2024-02-01")
 RUN_TIME = "2024-02-01 02:05:00"
 # A point in LV03 metres that distances are measured from.
 PLACE = (695538.0, 260803.0)
-PAGE_ROWS = 500
 
 
 def _m(column: str | Column, name: str | None = None) -> Column:
@@ -146,9 +144,12 @@ def stays_incremental(spark, sf_dir):
 # Streets and routes
 
 def street_clip(spark, sf_dir):
-    """Edges of the clipped graph, with how many vehicle positions start nearest to them."""
-    nodes = streets.clip_nodes(ev.street_nodes(spark))
-    edges = streets.lightest_edges(streets.clip_edges(ev.street_edges(spark), nodes))
+    """Edges of the stored, untidy graph once clipped, with how many vehicle positions start nearest to them."""
+    at = [scratch_path(spark, name) for name in ("street-nodes", "street-edges")]
+    ev.untidy_street_nodes(spark).write.parquet(at[0])
+    ev.untidy_street_edges(spark).write.parquet(at[1])
+    nodes = streets.clip_nodes(streets.read_street_nodes(spark, at[0]))
+    edges = streets.lightest_edges(streets.clip_edges(streets.read_street_edges(spark, at[1]), nodes))
     near = paths.nearest_nodes(_stays(spark, sf_dir), nodes, (*stays.VEHICLE, "stay"))
     snapped = near.select("city_bfs_id", F.inline(F.array(*[
         F.struct(F.lit(m).alias("mode"), F.col(f"node_{m}").alias("u")) for m in streets.MODES])))
@@ -260,6 +261,7 @@ def collect_enrich(spark, sf_dir):
     pages = ev.observations(spark, sf_dir).select("id", "geometry", "properties")
     rows = enrich(pages, ev.provider_feed(spark, sf_dir), ts(RUN_TIME))
     return rows.select("id", F.col("properties.id").alias("vehicle"), F.col("properties.provider.id").alias("provider"),
+                       F.to_json("properties.provider").alias("provider_document"),
                        _deg(F.col("geometry.coordinates")[0], "lon"), _deg(F.col("geometry.coordinates")[1], "lat"),
                        F.col("_meta_runtime_utc").alias("runtime"), F.col("_meta_last_updated_utc").alias("refreshed"))
 
@@ -299,19 +301,12 @@ def _landed_pages(spark, sf_dir):
     odd = F.pmod(F.unix_seconds("_meta_runtime_utc"), F.lit(7)) == 0
     text = F.to_json(F.struct("id", "geometry", "properties"))
     text = F.when(odd, F.regexp_replace(text, '"available":true', '"available":"yes"')).otherwise(text)
-    # As many pages as keep one at about PAGE_ROWS documents, however many events there are.
-    pages = rows.count() // PAGE_ROWS + 1
-    page = F.pmod(F.xxhash64(text), F.lit(pages))
-    path = scratch_path(spark, "pages")
-    (rows.groupBy(page.alias("page")).agg(F.collect_list(text).alias("documents"))
-     .select("page", F.concat(F.lit("["), F.concat_ws(",\n", "documents"), F.lit("]")).alias("value"))
-     .repartition("page").write.partitionBy("page").text(path))
-    return path
+    return stored.land(rows, text, "pages")
 
 
 def pages_scan(spark, sf_dir):
     """All documents of landed pages; a flag that is no flag is null and costs nothing else."""
-    rows = feeds.read_pages(spark, f"{_landed_pages(spark, sf_dir)}/*")
+    rows = feeds.read_pages(spark, _landed_pages(spark, sf_dir))
     return rows.select("id", F.col("properties.id").alias("vehicle"), F.col("properties.provider.id").alias("provider"),
                        _deg(F.col("geometry.coordinates")[0], "lon"), _deg(F.col("geometry.coordinates")[1], "lat"),
                        F.col("properties.available").alias("available"))
@@ -354,6 +349,7 @@ QUERIES: tuple[Query, ...] = (
     mart_distinct_ids, mart_distinct_ids_day, mart_vehicle_age, trip_numbers, mart_trip_distance, upsert_replace, upsert_accumulate,
     retention_keep, rows_in_interval, not_null_report, collect_enrich, offering_providers,
     stream_provider_stats, stream_registry, registry_rerun, pages_scan, explore_scan, distance_from_last_row, moved_datapoints, distance_from_point, tz_convert,
+    *stored.QUERIES,
 )
 
 

@@ -59,7 +59,7 @@ placed AS (
 obs AS (
   SELECT 'v' || user_id AS id, 'u' || user_id AS vehicle, 'prov_' || (user_id % 3) AS provider, 'p' || (user_id % 3) AS pid,
     ts AS runtime, ts - to_seconds(k) AS time,
-    coalesce(c.west + (c.east - c.west) * (0.05e0 + 0.9e0 * (cell % 20) / 19e0) + 0.0001e0 * (k % 3) / 3e0, 0e0) AS lon,
+    coalesce(c.west + (c.east - c.west) * (0.05e0 + 0.9e0 * (cell % 20) / 19e0) + 0.0009e0 * (k % 3) / 3e0, 0e0) AS lon,
     coalesce(c.south + (c.north - c.south) * (0.05e0 + 0.9e0 * floor(cell / 20e0) / 19e0) + 0.00005e0 * (k % 5) / 5e0, 0e0) AS lat,
     CASE WHEN event_type = 'error' THEN true WHEN event_type <> 'signup' THEN false END AS disabled,
     event_type = 'purchase' AS reserved
@@ -256,9 +256,16 @@ joined AS (
   SELECT a.city_bfs_id, r.id, r.provider, r.time, r.lon, r.lat, NULL, 0 FROM recent r JOIN awake a USING (id) WHERE r.r <= 2)"""
         + _segments("joined", "rank, runtime, lon, lat, provider", "j"),
         f"SELECT {_STAY_COLUMNS} FROM jstays WHERE time_to >= TIMESTAMP '2024-01-16'")
-    q["street_clip"] = _with(_stays() + STREETS, """SELECT w.city_bfs_id, w.mode, w.u, w.v, round(w.length_m, 3) AS length_m,
-  coalesce(n.stays, 0) AS stays FROM ways w
-  SEMI JOIN nodes a ON a.city_bfs_id = w.city_bfs_id AND a.node_id = w.u
+    q["street_clip"] = _with(_stays() + STREETS + """,
+all_nodes AS (SELECT city_bfs_id, node_id, lon, lat FROM nodes UNION ALL SELECT city_bfs_id, node_id + 500000, lon - 20, lat FROM nodes),
+all_ways AS (SELECT city_bfs_id, mode, u, v, length_m FROM ways UNION ALL SELECT city_bfs_id, mode, u, v, length_m * 1.5e0 FROM ways
+  UNION ALL SELECT city_bfs_id, mode, u, u, 1e0 FROM ways UNION ALL SELECT city_bfs_id, mode, u, u + 500000, 5e0 FROM ways),
+boxed AS (SELECT o.city_bfs_id, o.node_id FROM all_nodes o JOIN cities c ON c.city_bfs_id = o.city_bfs_id AND """ + _INSIDE + """),
+clipped AS (SELECT city_bfs_id, mode, u, v, min(length_m) AS length_m FROM all_ways w
+  WHERE u <> v AND EXISTS (SELECT 1 FROM boxed b WHERE b.city_bfs_id = w.city_bfs_id AND b.node_id = w.u)
+    AND EXISTS (SELECT 1 FROM boxed b WHERE b.city_bfs_id = w.city_bfs_id AND b.node_id = w.v) GROUP BY ALL)""",
+                            """SELECT w.city_bfs_id, w.mode, w.u, w.v, round(w.length_m, 3) AS length_m,
+  coalesce(n.stays, 0) AS stays FROM clipped w
   LEFT JOIN (SELECT city_bfs_id, node_id, count(*) AS stays FROM near GROUP BY ALL) n
     ON n.city_bfs_id = w.city_bfs_id AND n.node_id = w.u""", True)
     q["nearest_node"] = _with(_stays() + STREETS, """SELECT city_bfs_id, id, time_from, node_id AS node_walk,
@@ -326,7 +333,8 @@ WHERE time_to BETWEEN TIMESTAMP '2024-01-16' AND TIMESTAMP '2024-02-01' GROUP BY
     q["not_null_report"] = _with(OBS, " UNION ALL ".join(
         f"SELECT '{name}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_rows, count(*) AS total_rows FROM obs"
         for name, c in checked.items()))
-    q["collect_enrich"] = _with(OBS + ",\n" + _FEED, """SELECT id, vehicle, pid AS provider, round(lon, 6) AS lon, round(lat, 6) AS lat,
+    q["collect_enrich"] = _with(OBS + ",\n" + _FEED, """SELECT id, vehicle, pid AS provider,
+  '{"id":"' || pid || '","name":"' || provider || '"}' AS provider_document, round(lon, 6) AS lon, round(lat, 6) AS lat,
   TIMESTAMP '2024-02-01 02:05:00' AS runtime, make_timestamp(last_updated * 1000000) AS refreshed
 FROM obs JOIN feed ON provider_id = pid WHERE offers""")
     q["offering_providers"] = _with(_FEED, "SELECT provider_id, last_updated FROM feed WHERE offers")
@@ -359,4 +367,67 @@ FROM spans WHERE distance_m >= 20 OR nth = 1""")
     # Winter time holds for the whole event table.
     q["tz_convert"] = _with(OBS, """SELECT id, time + INTERVAL 1 HOUR AS time_provider, runtime + INTERVAL 1 HOUR AS time_airflow,
   date_trunc('hour', runtime + INTERVAL 1 HOUR)::TIMESTAMP AS hour FROM obs""")
-    return q
+    return q | _stored_oracles(q)
+
+
+def _later_wins(early: str, late: str, key: tuple[str, ...], columns: str = "*") -> str:
+    """Rows of two statements; one of the first goes where the second has its key."""
+    same = " AND ".join(f"l.{k} IS NOT DISTINCT FROM early.{k}" for k in key)
+    return _with(f"early AS ({early}), late AS ({late})", f"""SELECT {columns} FROM late
+UNION ALL SELECT {columns} FROM early WHERE NOT EXISTS (SELECT 1 FROM late l WHERE {same})""")
+
+
+def _edges_of(interval: tuple[str, str]) -> str:
+    here, before = _mercator("lon", "lat"), _mercator("lon_before", "lat_before")
+    return _with(_path() + f""",
+linked AS (SELECT *, lag(lon) OVER w AS lon_before, lag(lat) OVER w AS lat_before FROM vertices
+  WHERE time_from BETWEEN TIMESTAMP '{interval[0]}' AND TIMESTAMP '{interval[1]}'
+  WINDOW w AS (PARTITION BY city_bfs_id, id ORDER BY time_to, path_idx, time_from))""",
+                 f"""SELECT id, provider, city_bfs_id, time_from, time_to, CAST(path_idx AS BIGINT) AS path_idx,
+  round(lon, 6) AS lon, round(lat, 6) AS lat, round(lon_before, 6) AS lon_before, round(lat_before, 6) AS lat_before,
+  round({_planar(here, before)}, 3) AS distance_m FROM linked""")
+
+
+def _ages_of(interval: tuple[str, str]) -> str:
+    return _with(_path() + f""",
+lives AS (SELECT id, provider, city_bfs_id, min(time_from) AS born, max(time_to) AS died FROM path
+  WHERE time_from::DATE <= DATE '{interval[1]}' GROUP BY 1, 2, 3),
+marks AS (SELECT provider, city_bfs_id, born, died,
+  date_trunc('hour', unnest(generate_series(born + INTERVAL 1 HOUR, died, INTERVAL 1 HOUR))) AS time FROM lives)""",
+                 f"""SELECT time, city_bfs_id, provider,
+  round(avg((epoch_us(time) - epoch_us(born)) / 1000000e0 / 86400e0), 6) AS avg_age_days_scooter
+FROM marks WHERE time BETWEEN born AND died AND time BETWEEN TIMESTAMP '{interval[0]}' AND TIMESTAMP '{interval[1]}'
+GROUP BY 1, 2, 3""")
+
+
+def _trips_of(interval: tuple[str, str]) -> str:
+    return _with(_path() + """,
+numbered AS (SELECT *, CAST(sum(CASE WHEN moving THEN 0 ELSE 1 END) OVER (PARTITION BY id ORDER BY time_from) AS BIGINT) AS trip_no
+  FROM path)""", f"""SELECT id, provider, city_bfs_id, CAST(trip_no AS VARCHAR) AS trip_id, min(time_from) AS trip_start,
+  max(time_from) AS trip_end, round(sum(distance_m_walk), 3) AS trip_walk_distance_m, round(sum(distance_m_bike), 3) AS trip_bike_distance_m
+FROM numbered WHERE time_from BETWEEN TIMESTAMP '{interval[0]}' AND TIMESTAMP '{interval[1]}' GROUP BY id, provider, city_bfs_id, trip_no""")
+
+
+def _stored_oracles(q: dict[str, str]) -> dict[str, str]:
+    def path_of(interval: tuple[str, str]) -> str:
+        return _with(_path(interval), """SELECT id, provider, city_bfs_id, round(lon, 6) AS lon, round(lat, 6) AS lat, time_from, time_to,
+  round(distance_m, 3) AS distance_m, moving, round(distance_m_walk, 3) AS distance_m_walk, round(distance_m_bike, 3) AS distance_m_bike,
+  CAST(3 AS BIGINT) AS walk_vertices, CAST(3 AS BIGINT) AS bike_vertices FROM path""")
+    found = {
+        "table_path": _later_wins(path_of(EARLY), path_of(LATE), ("id", "time_from")),
+        "table_provider_stats": _later_wins(_with(_points(EARLY), _bins()), _with(_points(LATE), _bins()),
+                                            ("time", "provider", "city_bfs_id")),
+        "table_edges": _later_wins(_edges_of(EARLY), _edges_of(LATE), ("id", "time_from")),
+        "table_distinct_ids": q["mart_distinct_ids"],
+        "table_vehicle_age": _later_wins(_ages_of(EARLY), _ages_of(LATE), ("time", "city_bfs_id", "provider")),
+        "table_trip_distance": _later_wins(_trips_of(FIRST_PART), _trips_of(MID_JANUARY), ("id", "trip_id")),
+        "table_retention": q["retention_keep"],
+        "landed_scan": q["observation_scan"],
+        "landed_feed": q["offering_providers"],
+        "landed_documents": _with(OBS + _EXPLORED, """SELECT city_bfs_id, id, provider, date_trunc('second', time)::TIMESTAMP AS time,
+  date_trunc('second', runtime)::TIMESTAMP AS runtime, round(lon, 6) AS lon, round(lat, 6) AS lat FROM seen"""),
+        "explore_ids": _with(OBS, """SELECT time AS time_provider, runtime AS time_airflow, id, round(lon, 6) AS lon,
+  round(lat, 6) AS lat, pid AS provider, true AS is_available, disabled AS is_disabled, reserved AS is_reserved
+FROM obs WHERE id IN (SELECT id FROM obs WHERE lon > -1 AND lon < 1)"""),
+    }
+    return found

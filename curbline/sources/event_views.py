@@ -1,8 +1,8 @@
 """Views that let every operator run on a generic ``events`` table.
 
 Each event becomes one observation of the user's vehicle. A vehicle keeps one cell of a
-20 x 20 grid over its region for twelve hours, with a few metres of jitter, so that
-stays and moves form; vehicles with ``user_id % 11 = 10`` lie outside every region.
+20 x 20 grid over its region for twelve hours, with up to 47 metres of jitter, so that
+stays and moves form and steps of 20 to 50 metres occur; vehicles with ``user_id % 11 = 10`` lie outside every region.
 The street graph is the same grid, jittered, with great-circle edge lengths.
 """
 
@@ -45,7 +45,7 @@ def observations(spark: SparkSession, sf_dir: str, streaming: bool = False) -> D
         ((F.col("user_id") * 7919 + slot * 104729) % 400).alias("cell"))
     west, east, south, north = (_by_order(F.col("ord"), a) for a in ("west", "east", "south", "north"))
     lon = F.coalesce(west + (east - west) * (0.05 + 0.9 * (F.col("cell") % GRID) / 19.0)
-                     + 0.0001 * (F.col("k") % 3) / 3.0, F.lit(0.0))
+                     + 0.0009 * (F.col("k") % 3) / 3.0, F.lit(0.0))
     lat = F.coalesce(south + (north - south) * (0.05 + 0.9 * F.floor(F.col("cell") / 20.0) / 19.0)
                      + 0.00005 * (F.col("k") % 5) / 5.0, F.lit(0.0))
     disabled = (F.when(F.col("event_type") == "error", True)
@@ -134,3 +134,17 @@ def street_edges(spark: SparkSession) -> DataFrame:
     return (forward.withColumn("way", ways)
             .select("city_bfs_id", F.col("way.mode").alias("mode"), F.col("way.a").alias("u"),
                     F.col("way.b").alias("v"), "length_m"))
+
+
+def untidy_street_nodes(spark: SparkSession) -> DataFrame:
+    """The nodes, and one more for each far outside the box of its region."""
+    nodes = street_nodes(spark)
+    return nodes.unionByName(nodes.withColumns({"node_id": F.col("node_id") + 500000, "lon": F.col("lon") - 20}))
+
+
+def untidy_street_edges(spark: SparkSession) -> DataFrame:
+    """The edges, with a longer one beside each, loops, and edges to nodes outside the box."""
+    edges = street_edges(spark)
+    return (edges.unionByName(edges.withColumn("length_m", F.col("length_m") * 1.5))
+            .unionByName(edges.withColumns({"v": F.col("u"), "length_m": F.lit(1.0)}))
+            .unionByName(edges.withColumns({"v": F.col("u") + 500000, "length_m": F.lit(5.0)})))
