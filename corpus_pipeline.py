@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbline.llm import line_dedup, packing, simhash, suffix_dedup, toxicity
+from curbline.llm import line_dedup, near_copies, packing, suffix_dedup, toxicity
 from curbline.session import stage
 
 
@@ -18,7 +18,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.deduplicated(docs)
+    return near_copies.deduplicated(docs)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,224 @@
+"""Near-copies by the similarity of their five-word shingles; several SimHash fingerprints find the candidates."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from itertools import repeat
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from curbline.llm.common import restored, row_order, schema_with, text_rows
+from curbline.llm.simhash import FAN, GrayIndex, _merge, components
+from curbline.session import stage
+
+WORDS = 5
+LIKENESS = 0.8
+# Fingerprints of a text, their bands, and the most bits a candidate pair may differ in within one fingerprint.
+PRINTS = 16
+BANDS = 4
+DISTANCE = 10
+
+
+def shingles(text: str) -> set[bytes]:
+    """Different runs of ``WORDS`` words, in lower case; a shorter text is one run, one without words has none."""
+    words = text.encode().lower().split()
+    if len(words) < WORDS:
+        return {b" ".join(words)} if words else set()
+    return set(map(b" ".join, zip(*[words[k:] for k in range(WORDS)])))
+
+
+def alike(a: set[bytes], b: set[bytes]) -> bool:
+    """Whether the Jaccard similarity is at least ``LIKENESS``, in whole numbers."""
+    both = len(a & b)
+    return 10 * both >= round(10 * LIKENESS) * (len(a) + len(b) - both)
+
+
+def fingerprints(hashes: np.ndarray) -> np.ndarray:
+    """``PRINTS`` codes of different hashes; each takes the majority of its own mix of them."""
+    mixed = hashes[:, None] + np.arange(PRINTS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    mixed ^= mixed >> np.uint64(31)
+    votes = np.zeros(64 * PRINTS, np.int64)
+    for part in range(0, len(mixed), 255):
+        bits = np.unpackbits(mixed[part:part + 255].view(np.uint8), axis=1)
+        votes += np.add.reduce(bits, axis=0, dtype=np.uint8)
+    return np.packbits(votes * 2 > len(hashes)).view(np.uint64)
+
+
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys, codes = [], []
+        for text in batch.column("text").to_pylist():
+            found = shingles(text)
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, found, repeat(42)), np.uint64, len(found))
+            hashes.sort()
+            keys.append(xxhash.xxh3_128_digest(hashes.tobytes()))
+            codes.append(fingerprints(hashes).view(np.int64))
+        kept = batch.select(["rid", "doc_id"])
+        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(keys, pa.binary()), pa.array(codes, pa.list_(pa.int64()))],
+                                         ["rid", "doc_id", "key", "codes"])
+
+
+def _pieces(nodes: DataFrame) -> DataFrame:
+    """``piece, node, code`` for every band of every fingerprint."""
+    width = 64 // BANDS
+    values = [F.struct(F.lit(k).alias("band"), F.shiftrightunsigned("code", k * width).bitwiseAND((1 << width) - 1).alias("value"))
+              for k in range(BANDS)]
+    prints = nodes.select("node", F.posexplode("codes").alias("print", "code"))
+    return prints.withColumn("at", F.explode(F.array(*values))).select(
+        F.xxhash64("print", "at.band", "at.value").alias("piece"), "node", "code")
+
+
+def _by_piece(solve):
+    """Calls ``solve(nodes, codes, judged)`` for each run of rows with the same ``piece``; pieces of one row are left out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+
+        def solved(table: pa.Table) -> pa.RecordBatch:
+            pieces, nodes, codes = (table.column(c).to_numpy() for c in ("piece", "node", "code"))
+            judged = table.column("judged") if "judged" in table.column_names else None
+            edges = np.flatnonzero(np.concatenate([[True], pieces[1:] != pieces[:-1], [True]]))
+            found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool))]
+            for at in np.flatnonzero(np.diff(edges) > 1):
+                begin, end = edges[at], edges[at + 1]
+                a, b, more = solve(nodes[begin:end], codes[begin:end].view(np.uint64),
+                                   judged.slice(begin, end - begin).to_pylist() if judged is not None else None)
+                if len(a):
+                    found.append((np.full(len(a), pieces[begin]), np.maximum(a, b), np.minimum(a, b), np.full(len(a), more)))
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], ["piece", "a", "b", "more"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            waiting.append(batch)
+            pieces = batch.column("piece").to_numpy()
+            others = np.flatnonzero(pieces != pieces[-1])
+            if len(others):  # the last piece may go on in the next batch
+                cut = int(others[-1]) + 1
+                yield solved(pa.Table.from_batches([*waiting[:-1], batch.slice(0, cut)]))
+                waiting = [batch.slice(cut)]
+        if waiting:
+            yield solved(pa.Table.from_batches(waiting))
+    return run
+
+
+def _near(codes: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    if len(codes) <= FAN:
+        a, b = np.triu_indices(len(codes), 1)
+        near = np.bitwise_count(codes[a] ^ codes[b]) <= distance
+        yield a[near], b[near]
+        return
+    index = GrayIndex(codes)
+    for a, b in index.pairs(distance):
+        yield index.order[a], index.order[b]
+
+
+def _forest(distance: int):
+    """Each node that candidate pairs connect to others, with the first of them."""
+    def solve(nodes, codes, judged):
+        labels = np.arange(len(nodes))
+        for a, b in _near(codes, distance):
+            _merge(labels, a, b)
+        linked = labels != np.arange(len(nodes))
+        return nodes[linked], nodes[labels[linked]], False
+    return _by_piece(solve)
+
+
+def _unjudged(distance: int, most: int):
+    """Candidate pairs that no judged pairs settle, at most ``most`` a node in one go; ``more`` when some may be left."""
+    def solve(nodes, codes, judged):
+        place = {int(node): k for k, node in enumerate(nodes)}
+        labels = np.arange(len(nodes))
+        pairs = [(k, place[j["b"]], j["near"]) for k, own in enumerate(judged) for j in own or () if j["b"] in place]
+        near = np.array([(a, b) for a, b, same in pairs if same], np.int64).reshape(-1, 2)
+        _merge(labels, near[:, 0], near[:, 1])
+        far = np.array([max(a, b) * len(nodes) + min(a, b) for a, b, same in pairs if not same], np.int64)
+        left, right, count = [], [], 0
+        for a, b in _near(codes, distance):
+            a, b = np.maximum(a, b), np.minimum(a, b)
+            new = (labels[a] != labels[b]) & ~np.isin(a * len(nodes) + b, far)
+            a, b = a[new], b[new]
+            # Between two groups that are known, a few pairs at a time.
+            low, high = np.minimum(labels[a], labels[b]), np.maximum(labels[a], labels[b])
+            order = np.lexsort((high, low))
+            groups = (low * len(nodes) + high)[order]
+            starts = np.flatnonzero(np.append(True, groups[1:] != groups[:-1])) if len(groups) else np.zeros(0, np.int64)
+            number = np.arange(len(groups)) - np.repeat(starts, np.diff(np.append(starts, len(groups))))
+            taken = order[number < most]
+            left.append(a[taken])
+            right.append(b[taken])
+            count += len(taken)
+            if len(taken) < len(order) or count >= most * len(nodes):
+                return nodes[np.concatenate(left)], nodes[np.concatenate(right)], True
+        return (nodes[np.concatenate(left)], nodes[np.concatenate(right)], False) if left else (nodes[:0], nodes[:0], False)
+    return _by_piece(solve)
+
+
+def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    last: tuple[str | None, set[bytes]] = None, set()
+    for whole in batches:
+        for start in range(0, whole.num_rows, 500):
+            batch = whole.slice(start, 500)
+            near = []
+            for one, other in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
+                if other != last[0]:
+                    last = other, shingles(other)
+                near.append(alike(shingles(one), last[1]))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(near, pa.bool_())], ["a", "b", "near"])
+
+
+def near_pairs(rows: DataFrame, nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``a, b``: pairs of likeness ``LIKENESS`` or more that join all candidates of that likeness.
+
+    Candidates agree in a band of some fingerprint and differ in at most ``distance`` bits of it.
+    Every piece first proposes a spanning forest, so a large group costs no pair of each two members. The
+    shingles of each proposed pair are compared. Pieces with pairs that are no near-copies
+    propose further candidates, until each candidate is judged or joined through near-copies.
+    """
+    spark = rows.sparkSession
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    schema = "piece long, a long, b long, more boolean"
+    pieces = _pieces(nodes)
+    proposed = stage(pieces.repartition(count, "piece").sortWithinPartitions("piece", "node").mapInArrow(_forest(distance), schema), "near-forest")
+    named = proposed.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
+    texts = stage(rows.select("rid", "text").join(named, "rid", "left_semi"), "near-texts")
+    judged, most = None, 1
+    while True:
+        fresh = proposed.select("a", "b").distinct()
+        if judged is not None:
+            fresh = fresh.join(judged, ["a", "b"], "left_anti")
+        pairs = fresh.join(texts.select(F.col("rid").alias("b"), F.col("text").alias("text_b")), "b")
+        pairs = pairs.join(texts.select(F.col("rid").alias("a"), F.col("text").alias("text_a")), "a")
+        new = stage(pairs.mapInArrow(_judge, "a long, b long, near boolean"), "near-judged")
+        judged = new if judged is None else judged.unionByName(new)
+        # Done are the pieces that proposed all they had; of the first forests, those that held.
+        open_pairs = proposed.join(judged.filter("not near").select("a", "b"), ["a", "b"], "left_semi") if most == 1 else proposed.filter("more")
+        open_pieces = stage(open_pairs.select("piece").distinct(), "near-open")
+        if open_pieces.isEmpty():
+            return judged.filter("near").select("a", "b")
+        known = judged.groupBy("a").agg(F.collect_list(F.struct("b", "near")).alias("judged")).withColumnRenamed("a", "node")
+        rest = pieces.join(open_pieces, "piece", "left_semi").join(known, "node", "left").select("piece", "node", "code", "judged")
+        most *= 4
+        proposed = stage(rest.repartition(count, "piece").sortWithinPartitions("piece", "node").mapInArrow(_unjudged(distance, most), schema),
+                         "near-proposed")
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The first row, by ``row_order``, of every group of near-copies, with all its columns.
+
+    Rows are near-copies when steps between texts of likeness ``LIKENESS`` or more join them. Texts with the same shingles
+    are one node from the start, told by a 128-bit digest; texts without words are such a group too.
+    """
+    rows = text_rows(docs)
+    marked = rows.mapInArrow(_marks, schema_with(rows, ["rid", "doc_id"], "key binary, codes array<long>"))
+    nodes = stage(marked.groupBy("key").agg(F.min(row_order()).alias("first"), F.first("codes").alias("codes"))
+                  .select("first", F.col("first.rid").alias("node"), "codes"), "near-nodes")
+    roots = components(near_pairs(rows, nodes.select("node", "codes")), "a", "b")
+    rooted = nodes.select("first", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    kept = stage(rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.rid"), "near-kept")
+    return restored(text_rows(docs, carry=True).join(kept, "rid", "left_semi"), docs)
