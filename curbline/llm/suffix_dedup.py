@@ -9,7 +9,9 @@ and by doubling, and a window is then a cover suffix of known rank with at most
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,9 @@ from curbline.session import stage
 LENGTH = 400
 GRAM = 64
 STEP = 40
+# A passage of more words than this is long too; every word is WORD bytes of its hash when passages of words are compared.
+WORDS = 50
+WORD = 8
 # A bucket with more different contexts than this is counted window by window on the cluster.
 CROWD = 1000
 # Windows hashed, and bytes of contexts sorted, in one go.
@@ -65,13 +70,18 @@ def anchors(data: np.ndarray, length: int, gram: int, powers: tuple[np.ndarray,
         yield at + begin, first + begin, last + begin, grams[at].view(np.int64)
 
 
-def _find_anchors(length: int, gram: int):
+def word_codes(text: str) -> bytes:
+    """The hashes of the words, one after another, so that ``WORDS`` words are always ``WORD * WORDS`` bytes."""
+    return b"".join(map(xxhash.xxh64_digest, text.encode().split()))
+
+
+def _find_anchors(length: int, gram: int, code=str.encode):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = _powers(BLOCK + length)
         for batch in batches:
             found: list[tuple] = []
             for rid, text in zip(batch.column("rid").to_pylist(), batch.column("text").to_pylist()):
-                data = np.frombuffer(text.encode(), np.uint8)
+                data = np.frombuffer(code(text), np.uint8)
                 for part in anchors(data, length, gram, powers) if len(data) >= length else ():
                     found.append((np.full(len(part[0]), rid), *part))
             columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 5
@@ -79,7 +89,7 @@ def _find_anchors(length: int, gram: int):
     return run
 
 
-def _contexts(length: int):
+def _contexts(length: int, code=str.encode):
     """Rows ``rid, text, marks`` to one row a mark, with the bytes its windows cover."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -87,7 +97,7 @@ def _contexts(length: int):
                 batch = whole.slice(start, 500)
                 out: list[tuple] = []
                 for rid, text, marks in zip(*[batch.column(c).to_pylist() for c in ("rid", "text", "marks")]):
-                    data = text.encode()
+                    data = code(text)
                     for mark in marks:
                         at, first, last = mark["at"], mark["first"], mark["last"]
                         context = data[first:last + length]
@@ -291,17 +301,33 @@ def _whole_characters(data: bytes, runs: list[tuple[int, int]]) -> list[tuple[in
     return inner
 
 
+def _word_runs(data: bytes, spans: list[dict]) -> list[tuple[int, int]]:
+    """Byte runs of the passages of over ``WORDS`` words that windows of ``word_codes`` cover."""
+    long = [(-(-a // WORD), b // WORD) for a, b in _merged(spans, WORD * WORDS)]
+    long = [(a, b) for a, b in long if b - a > WORDS]
+    words = [m.span() for m in re.finditer(rb"[^ \t\n\x0b\x0c\r]+", data)] if long else []
+    return [(words[a][0], words[b - 1][1]) for a, b in long]
+
+
+def _joined(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The bytes of all runs as runs that do not overlap."""
+    return _merged([{"first": a, "last": b} for a, b in runs if a < b], 0)
+
+
 def _cut(length: int, as_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, 1000):
                 batch = whole.slice(start, 1000)
                 size, removed, runs_of, kept = [], [], [], []
-                for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
+                by_words = batch.column("word_spans").to_pylist() if "word_spans" in batch.schema.names else repeat(None)
+                for text, spans, words in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), by_words):
                     data = text.encode()
                     runs = _merged(spans or [], length)
                     if as_text:
                         runs = _whole_characters(data, runs)
+                    if words:
+                        runs = _joined([*runs, *_word_runs(data, words)])
                     parts, at = [], 0
                     for a, b in runs:
                         parts.append(data[at:a])
@@ -311,7 +337,7 @@ def _cut(length: int, as_text: bool):
                     removed.append(len(data) - len(rest))
                     runs_of.append(len(runs))
                     kept.append(rest.decode() if as_text else rest)
-                others = [c for c in batch.schema.names if c not in ("text", "spans")]
+                others = [c for c in batch.schema.names if c not in ("text", "spans", "word_spans")]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c) for c in others), pa.array(size, pa.int64()), pa.array(removed, pa.int64()),
                      pa.array(runs_of, pa.int64()), pa.array(kept, pa.string() if as_text else pa.binary())],
@@ -319,19 +345,22 @@ def _cut(length: int, as_text: bool):
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """``rid, spans``: for rows that have any, the windows ``first`` to ``last`` that start elsewhere too."""
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, code=str.encode) -> DataFrame:
+    """``rid, spans``: for rows that have any, the windows ``first`` to ``last`` that start elsewhere too.
+
+    The strings are those of ``code(text)``.
+    """
     if length % STEP or length < 3 * STEP or not 0 < gram < length:
         raise ValueError(f"length must be a multiple of {STEP} and at least {3 * STEP}, gram shorter")
     spark = docs.sparkSession
     rows = text_rows(docs)
-    found = stage(rows.select("rid", "text").mapInArrow(_find_anchors(length, gram), "rid long, at long, first long, last long, gram long"),
+    found = stage(rows.select("rid", "text").mapInArrow(_find_anchors(length, gram, code), "rid long, at long, first long, last long, gram long"),
                   "anchors")
     shared = stage(found.groupBy("gram").agg(F.count("*").alias("places")).filter("places > 1").select("gram"), "anchors-shared")
     marks = (found.join(shared, "gram").groupBy("rid")
              .agg(F.collect_list(F.struct("at", "first", "last", "gram")).alias("marks")))
     held = stage(rows.select("rid", "text").join(marks, "rid"), "suffix-texts")
-    contexts = held.mapInArrow(_contexts(length), "rid long, first long, gram long, lead int, digest binary, context binary")
+    contexts = held.mapInArrow(_contexts(length, code), "rid long, first long, gram long, lead int, digest binary, context binary")
     # Equal contexts are one context from here on, so copies of a passage are sorted once.
     different = stage(contexts.groupBy("gram", "lead", "digest", "context").agg(F.count("*").alias("copies")), "contexts")
     crowded = stage(different.groupBy("gram").agg(F.count("*").alias("contexts")).filter(F.col("contexts") > CROWD).select("gram"), "crowded")
@@ -371,3 +400,17 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
     cut = joined.mapInArrow(_cut(length, True), schema_with(
         rows, ["rid", "doc_id", "rest"], "n_bytes long, n_removed long, n_spans long, text string"))
     return restored(cut, docs)
+
+
+def without_passages(docs: DataFrame) -> DataFrame:
+    """``deduplicated``, with the passages of over ``WORDS`` words that stand elsewhere too taken out as well, however few bytes.
+
+    Words are compared by a 64-bit hash each, white space between them is not. Both kinds are judged on
+    the input, so neither hides a copy from the other.
+    """
+    rows = text_rows(docs, carry=True)
+    by_words = repeated_spans(docs, WORD * WORDS, GRAM, word_codes).withColumnRenamed("spans", "word_spans")
+    joined = rows.join(repeated_spans(docs), "rid", "left").join(by_words, "rid", "left")
+    cut = joined.mapInArrow(_cut(LENGTH, True), schema_with(
+        rows, ["rid", "doc_id", "rest"], "n_bytes long, n_removed long, n_spans long, text string"))
+    return restored(cut, docs)

@@ -54,3 +54,20 @@ def test_judged_pairs_lead_to_others(spark):
     sets = [near_copies.shingles(t) for t in texts]
     assert found == {(b, a) for a, b in combinations(range(len(texts)), 2) if near_copies.alike(sets[a], sets[b])}
     assert len(found) == 12
+
+
+def test_passage_stage_drops_short_passages_of_many_words(spark):
+    rng = random.Random(5)
+    gone = [_words(rng, 51), _words(rng, 51, 1), _words(rng, 80, 9), ["é" * 150 + "x" * 150]]  # the last is long in bytes only
+    stay = _words(rng, 50)
+    assert len(" ".join(gone[0])) < 400 and len(" ".join(gone[1])) == 101 and len(" ".join(stay)) < 400
+    texts, expected = [], []
+    for passage in [*gone, stay]:
+        for _ in range(2):
+            before, after = _words(rng, 60), _words(rng, 60)
+            texts.append(" ".join([*before, f"b{len(texts)}", *passage, f"{len(texts)}a", *after]))
+            expected.append([*before, f"b{len(expected)}", *(passage if passage is stay else []), f"{len(expected)}a", *after])
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(99, None)], "doc_id long, text string")
+    found = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_passages(spark, docs, "").collect()}
+    # A repeated string of 400 bytes goes with the blanks on both sides.
+    assert ["".join(found[k].split()) for k in range(len(texts))] == ["".join(words) for words in expected] and found[99] == ""
