@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,17 +32,31 @@ class WordEncoder:
     """Ids of whole texts by a tokenizer that drops white space, word by word.
 
     The vocabulary joins nothing across white space, so the ids of a text are those of its words.
+    Literal special tokens are found first, in the text as it is, and stand for their own ids.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
+        self.special = {content: np.array([i], "<u4").tobytes() for content, i in special.items()}
+        self.cut = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or "(?!)")
+        # Words are in lower case by then: one like <|ENDOFTEXT|> must not become special.
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text. The vocabulary is in lower case, so words are too."""
+        """Little-endian unsigned 32-bit ids of each text."""
+        found = [self.cut.findall(text) for text in texts]
+        if not any(found):
+            return self._plain(texts)
+        parts = [self.cut.split(text) if own else [text] for text, own in zip(texts, found)]
+        coded = iter(self._plain([part for own in parts for part in own]))
+        return [b"".join([next(coded), *(ids for token in own for ids in (self.special[token], next(coded)))]) for own in found]
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without special tokens. The vocabulary is in lower case, so words are too."""
         split = [text.encode().lower().split() for text in texts]
         get = self.known.get
         found = [list(map(get, words)) for words in split]

@@ -3,8 +3,12 @@
 import random
 from itertools import combinations
 
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
 import corpus_pipeline
-from curbline.llm import near_copies
+from curbline.llm import near_copies, packing
 
 
 def _words(rng, count, most=7):
@@ -71,3 +75,14 @@ def test_passage_stage_drops_short_passages_of_many_words(spark):
     found = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_passages(spark, docs, "").collect()}
     # A repeated string of 400 bytes goes with the blanks on both sides.
     assert ["".join(found[k].split()) for k in range(len(texts))] == ["".join(words) for words in expected] and found[99] == ""
+
+
+def test_packing_keeps_special_tokens():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    texts = ["x <|endoftext|> y", "a<|endoftext|>b", "A <|ENDOFTEXT|> b", "<|startoftext|><|endoftext|>.", "", "plain text, only.",
+             "ab.<|endoftext|>'s", "x<|endoftext|>, <|endoftext|"]
+    encoder = packing.WordEncoder(path)
+    for _ in range(2):  # the second time from the words it remembers
+        found = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)]
+        assert found == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
