@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import exact_dedup, line_dedup, lm_score, packing, prefix_bpe, sharding, simhash, sketch, suffix_dedup, toxicity
+from curbline.llm import (chat, divergence, exact_dedup, line_dedup, lm_score, merkle, packing, prefix_bpe, sharding, simhash, sketch,
+                          suffix_dedup, toxicity)
 from curbline.llm.common import documents
 
 
@@ -65,11 +66,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(documents(spark, sf_dir))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(2)) == 0
+    return merkle.manifest(documents(spark, sf_dir), altered={"text": F.replace(F.col("text"), F.lit("\n"), F.lit(""))}, where=tampered)
+
+
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    text = r"\### Assistant: </turn> ok"
+    added = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    return chat.read_back(stored.select("conv_id", "turn", "role", "text").unionByName(added))
+
+
 def catalog() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_line_dedup, op2_lm_score, op3_packing, op4_prefix_bpe, op5_simhash, op6_sketch, op7_sharding,
-             op8_exact_dedup, op9_suffix_dedup, op10_toxicity]
+             op8_exact_dedup, op9_suffix_dedup, op10_toxicity, op11_source_divergence, op12_merkle, op13_chat]
     return {query.__name__: query for query in found}
 
 
 def oracles() -> dict[str, str]:
-    return {"op8_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {"op8_exact_dedup": exact_dedup.ORACLE_SQL, "op11_source_divergence": divergence.ORACLE_SQL}
