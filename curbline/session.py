@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -76,6 +77,23 @@ def scratch_run(spark: SparkSession) -> Iterator[None]:
     files.delete(folder, True)
 
 
+def settled(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """``make()`` written once; what it staged on the way is removed when the result stands.
+
+    Shuffle files of its jobs go when the driver's JVM collects their plans, which an idle
+    driver may not do for long, so it is asked to.
+    """
+    path = scratch_path(spark, label)
+    with scratch_run(spark):
+        made = make()
+        schema = made.schema
+        made.write.parquet(path)
+    del made
+    gc.collect()
+    spark._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int | None = None) -> DataFrame:
     """Hint a broadcast when the counted rows fit the limit; beyond it the join shuffles."""
     allowed = BROADCAST_LIMIT_BYTES if limit is None else limit
