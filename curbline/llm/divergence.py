@@ -7,7 +7,7 @@ term are merged by key, and the merged stripes give the divergences of all group
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,12 +25,12 @@ LEAST_DOCUMENTS = 30
 TERMS_LISTED = 50
 # Added to every count.
 PRIOR = 5
-# Entries of stripes a task holds before it spills them; an entry takes up to 400 bytes.
-ENTRIES_HELD = 300_000
+# Entries of stripes a task holds before it spills them; an entry takes up to about 300 bytes.
+ENTRIES_HELD = 400_000
 # Stripes of a term that one merge brings together come from at most so many tasks.
 FAN = 64
 # Counts that are compared in one go, and sources whose rows of differences are made together.
-CELLS = 1 << 20
+CELLS = 1 << 16
 SOURCES = 512
 
 _STRIPE = "lang string, term string, part int, documents long, sources array<struct<source: string, count: long>>"
@@ -44,79 +44,117 @@ def terms(text: bytes) -> list[bytes]:
     return text.translate(_LETTERS).split()
 
 
-def _stripes(held: dict[tuple[str, bytes], list], part: int) -> pa.RecordBatch:
-    sizes = np.fromiter((len(own) for _, own in held.values()), np.int32, len(held))
-    ends = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
-    pairs = pa.StructArray.from_arrays(
-        [pa.array([s for _, own in held.values() for s in own], pa.string()),
-         pa.array([c for _, own in held.values() for c in own.values()], pa.int64())], fields=list(_SOURCES.value_type))
+def _rows(lang: pa.Array, term: pa.Array, part: int, documents: np.ndarray, at: np.ndarray, source: pa.Array, count: np.ndarray) -> pa.RecordBatch:
+    """Stripes from entries: entry k gives ``source[k]`` and ``count[k]`` to the stripe ``at[k]``; ``at`` ascends."""
+    ends = np.searchsorted(at, np.arange(len(term) + 1)).astype(np.int32)
+    pairs = pa.StructArray.from_arrays([source, pa.array(count, pa.int64())], fields=list(_SOURCES.value_type))
     return pa.RecordBatch.from_arrays(
-        [pa.array([lang for lang, _ in held], pa.string()), pa.array([term for _, term in held], pa.binary()).cast(pa.string()),
-         pa.array(np.full(len(held), part, np.int32)), pa.array([n for n, _ in held.values()], pa.int64()),
-         pa.ListArray.from_arrays(ends, pairs, type=_SOURCES)],
-        ["lang", "term", "part", "documents", "sources"])
+        [lang, term.cast(pa.string()), pa.array(np.full(len(term), part, np.int32)), pa.array(documents, pa.int64()),
+         pa.ListArray.from_arrays(pa.array(ends), pairs, type=_SOURCES)], ["lang", "term", "part", "documents", "sources"])
+
+
+class _Stripes:
+    """The stripes of one language: how many documents hold a term, and its counts by source."""
+
+    def __init__(self):
+        self.documents: Counter = Counter()
+        self.sources: defaultdict[str, Counter] = defaultdict(Counter)
+
+    def fold(self, source: str, words: list[bytes]) -> int:
+        """Adds a document; returns how many entries that made. The empty term counts the documents of every source."""
+        own = self.sources[source]
+        before = len(own)
+        self.documents.update(set(words))
+        own.update(words)
+        self.documents[b""] += 1
+        own[b""] += 1
+        return len(own) - before
+
+    def rows(self, lang: str, part: int) -> pa.RecordBatch:
+        place = {term: k for k, term in enumerate(self.documents)}
+        at, names, counts = [], [], []
+        for name, own in self.sources.items():
+            at.append(np.fromiter(map(place.__getitem__, own), np.int64, len(own)))
+            counts.append(np.fromiter(own.values(), np.int64, len(own)))
+            names.append(np.full(len(own), len(names), np.int32))
+        order = np.argsort(np.concatenate(at), kind="stable")
+        source = pa.array(list(self.sources), pa.string()).take(pa.array(np.concatenate(names)[order]))
+        return _rows(pa.array([lang] * len(place), pa.string()), pa.array(list(place), pa.binary()), part,
+                     np.fromiter(self.documents.values(), np.int64, len(place)), np.concatenate(at)[order], source,
+                     np.concatenate(counts)[order])
 
 
 def _folded(entries: int):
-    """Whole documents to stripes; the empty term's stripe counts the documents of every group."""
+    """Whole documents to stripes, spilled when a task holds ``entries`` entries."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        held: dict[tuple[str, bytes], list] = {}
+        held: defaultdict[str, _Stripes] = defaultdict(_Stripes)
         size = 0
         for batch in batches:
             columns = (batch.column("lang").to_pylist(), batch.column("source").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist())
             for lang, source, text in zip(*columns):
-                counts = Counter(terms(text))
-                counts[b""] = 1
-                for term, count in counts.items():
-                    stripe = held.get((lang, term))
-                    if stripe is None:
-                        held[lang, term] = [1, {source: count}]
-                        size += 1
-                        continue
-                    stripe[0] += 1
-                    own = stripe[1]
-                    if source in own:
-                        own[source] += count
-                    else:
-                        own[source] = count
-                        size += 1
+                size += held[lang].fold(source, terms(text))
                 if size >= entries:
-                    yield _stripes(held, part)
-                    held, size = {}, 0
-        if held:
-            yield _stripes(held, part)
+                    yield from (own.rows(name, part) for name, own in held.items())
+                    held.clear()
+                    size = 0
+        yield from (own.rows(name, part) for name, own in held.items())
     return run
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by ``lang, term, part`` to one stripe for each of them; one is held at a time."""
-    done: dict[tuple[str, bytes], list] = {}
-    key, part = None, 0
-
-    def given() -> pa.RecordBatch:
-        return _stripes(done, part)
-
-    for batch in batches:
-        keys = zip(batch.column("lang").to_pylist(), batch.column("term").cast(pa.binary()).to_pylist(), batch.column("part").to_pylist())
-        lists = batch.column("sources")
-        ends = lists.offsets.to_pylist()
-        names, counts = lists.values.field("source").to_pylist(), lists.values.field("count").to_pylist()
-        for at, (new, documents) in enumerate(zip(keys, batch.column("documents").to_pylist())):
-            if new != key:
-                # Rows given together share their part.
-                if done and (new[2] != part or len(done) >= 2000):
-                    yield given()
-                    done = {}
-                key, part = new, new[2]
-                done[key[:2]] = [0, {}]
-            stripe = done[key[:2]]
-            stripe[0] += documents
-            own = stripe[1]
-            for k in range(ends[at], ends[at + 1]):
-                own[names[k]] = own.get(names[k], 0) + counts[k]
-    if done:
-        yield given()
+def _changes(column: pa.ChunkedArray) -> np.ndarray:
+    """Which rows differ from the row before; the first one counts."""
+    return np.append(True, pc.not_equal(column[1:], column[:-1]).to_numpy().astype(bool))
+
+
+def _sum(rows: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
+    """Adds up rows sorted by ``part, lang, term``; terms in fewer than ``least`` documents go."""
+    rows = rows.combine_chunks()
+    first = _changes(rows["part"]) | _changes(rows["lang"]) | _changes(rows["term"])
+    starts = np.flatnonzero(first)
+    documents = np.add.reduceat(rows["documents"].to_numpy(), starts)
+    stays = (documents >= least) | (pc.binary_length(rows["term"].take(pa.array(starts))).to_numpy() == 0)
+    if not stays.any():
+        return
+    chosen = rows.filter(pa.array(stays[np.cumsum(first) - 1]))
+    heads, group = rows.take(pa.array(starts[stays])), np.cumsum(first[stays[np.cumsum(first) - 1]]) - 1
+    lists = chosen["sources"].combine_chunks()
+    flat = lists.flatten()
+    names = flat.field("source").dictionary_encode()
+    width = max(1, len(names.dictionary))
+    key = np.repeat(group, pc.list_value_length(lists).to_numpy()) * width + names.indices.to_numpy()
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    begins = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    counts = np.add.reduceat(flat.field("count").to_numpy()[order], begins)
+    key = key[begins]
+    # Rows of a part follow each other; nearly always there is only one.
+    part = heads["part"].to_numpy()
+    edges = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part))
+    for a, b in zip(edges[:-1], edges[1:]):
+        own = slice(*np.searchsorted(key, [a * width, b * width]))
+        yield _rows(heads["lang"][a:b].combine_chunks(), heads["term"][a:b].combine_chunks(), int(part[a]), documents[stays][a:b],
+                    key[own] // width - a, names.dictionary.take(pa.array(key[own] % width)), counts[own])
+
+
+def _merged(least: int):
+    """Rows sorted by ``part, lang, term`` to one stripe for each; the rows of a batch and one stripe's are held at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: pa.Table | None = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            if kept is not None:
+                rows = pa.concat_tables([kept, rows])
+            if not rows.num_rows:
+                continue
+            # The last stripe may go on in the next batch.
+            cut = int(np.flatnonzero(_changes(rows["part"]) | _changes(rows["lang"]) | _changes(rows["term"]))[-1])
+            if cut:
+                yield from _sum(rows[:cut], least)
+            kept = rows[cut:]
+        if kept is not None and kept.num_rows:
+            yield from _sum(kept, least)
+    return run
 
 
 def merged_stripes(docs: DataFrame, least: int = LEAST_DOCUMENTS, entries: int = ENTRIES_HELD, fan: int = FAN) -> DataFrame:
@@ -135,11 +173,10 @@ def merged_stripes(docs: DataFrame, least: int = LEAST_DOCUMENTS, entries: int =
         last = parts <= fan
         found = found.withColumn("part", F.lit(0) if last else F.floor(F.col("part") / fan).cast("int"))
         found = (found.repartition(count, "lang", "term", "part").sortWithinPartitions("part", "lang", "term")
-                 .mapInArrow(_merged, _STRIPE))
+                 .mapInArrow(_merged(least if last else 0), _STRIPE))
         parts = -(-parts // fan)
         if last:
-            kept = found.filter((F.col("term") == "") | (F.col("documents") >= least)).drop("part")
-            return stage(kept, "stripes-kept")
+            return stage(found.drop("part"), "stripes-kept")
 
 
 def shares(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
