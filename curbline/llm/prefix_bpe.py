@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,9 @@ from curbline.llm.common import schema_with, text_rows, worker_cache
 WORDS_KEPT = 300_000
 MATCHES_KEPT = 300_000
 PAIRS_KEPT = 500_000
+PREFIXES_KEPT = 500_000
+# Byte strings up to this length are worked out from their prefixes as these are needed.
+SHORT = 64
 _NEVER = 1 << 40
 
 
@@ -52,6 +56,7 @@ class Vocabulary:
                 self.halves[rank] = (ranks[parts[0]], ranks[parts[1]])
                 self.made[token] = rank
         self._fits: dict[int, bool] = {}
+        self._last: dict[bytes, int] = {}
 
     def _merged(self, piece: bytes, below: int) -> list[bytes]:
         """``piece`` after all merges of a rank under ``below``."""
@@ -93,6 +98,35 @@ class Vocabulary:
                 limit, a = a, halves[a][1]
 
 
+    def last(self, prefix: bytes) -> int:
+        """The last token of a short byte string; strings that begin alike share what was found for their prefixes."""
+        token = self._last.get(prefix)
+        if token is not None:
+            return token
+        made, end = self.made, len(prefix)
+        for start in range(max(0, end - self.longest), end):
+            token = made.get(prefix[start:])
+            if token is not None and (start == 0 or self.fits(self.last(prefix[:start]), token)):
+                if len(self._last) >= PREFIXES_KEPT:
+                    self._last.clear()
+                self._last[prefix] = token
+                return token
+        raise ValueError(f"byte {prefix[-1]:#x} is not in the vocabulary")
+
+    def encode(self, data: bytes) -> list[int]:
+        whole = self.ranks.get(data)
+        if whole is not None:
+            return [whole]
+        if len(data) > SHORT:
+            return PrefixEncoding(self, data).ids()
+        found, end = [], len(data)
+        while end:
+            token = self.last(data[:end])
+            found.append(token)
+            end -= len(self.tokens[token])
+        return found[::-1]
+
+
 class PrefixEncoding:
     """The encoding of a byte string that can grow and be edited; ``last[i]`` ends the prefix of ``i + 1`` bytes."""
 
@@ -158,6 +192,9 @@ class TextEncoder:
         self.vocabulary, self.find = vocabulary, regex.compile(pattern).findall
         self.ends_blank = regex.compile(r"\s\Z").search
         self.known: dict[str, bytes] = {}
+        # Taken tokens lie one after another in one buffer.
+        tokens = vocabulary.tokens
+        self.table = pa.array([tokens.get(k) for k in range(max(tokens) + 1)], pa.binary())
         self.words: dict[str, bytes] = {}
 
     def _matches(self, text: str) -> bytes:
@@ -165,19 +202,37 @@ class TextEncoder:
         for match in self.find(text):
             ids = known.get(match)
             if ids is None:
-                ids = np.array(PrefixEncoding(self.vocabulary, match.encode()).ids(), "<u4").tobytes()
+                tokens = self.vocabulary.encode(match.encode())
+                ids = struct.pack(f"<{len(tokens)}I", *tokens)
                 if len(known) < MATCHES_KEPT and len(match) < 64:
                     known[match] = ids
             parts.append(ids)
         return b"".join(parts)
 
+    def _fill(self, rest: list[str], found: list[bytes | None]) -> int:
+        """Ids of the words not found, up to the first one that does not stand by itself; the number of words when all do."""
+        for at in [k for k, ids in enumerate(found) if ids is None]:
+            word = rest[at]
+            ids = self.words.get(word)
+            if ids is None:
+                blank = not word or self.ends_blank(word)
+                if blank and at + 1 < len(rest):
+                    return at
+                ids = self._matches(" " + word)
+                if not blank and len(self.words) < WORDS_KEPT and len(word) < 64:
+                    self.words[word] = ids
+            found[at] = ids
+        return len(rest)
+
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         first, *rest = text.split(" ")
         words = self.words
         found = list(map(words.get, rest))
-        if None not in found and first and not self.ends_blank(first):
-            return self._matches(first) + b"".join(found)
+        if first and not self.ends_blank(first):
+            at = self._fill(rest, found)
+            if at == len(rest):
+                return self._matches(first) + b"".join(found)
         parts, waiting = [], first
         for word, ids in zip(rest, found):
             if waiting is not None and (not waiting or self.ends_blank(waiting)):
@@ -201,7 +256,9 @@ class TextEncoder:
         return b"".join(parts)
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.vocabulary.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        if not ids:
+            return b""
+        return self.table.take(pa.array(np.frombuffer(ids, "<u4"))).buffers()[2].to_pybytes()
 
 
 class TextEncoding:
