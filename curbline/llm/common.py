@@ -6,10 +6,13 @@ import sys
 import types
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from curbline.session import broadcast_if_small, stage
+
 # The white space that separates words: blank, tab, line feed, vertical tab, form feed, return.
 BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
@@ -19,16 +22,58 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+# Plans that give the rows of one scan as they stand in its files.
+_SCANS = {"LogicalRelation", "Project", "Filter", "SubqueryAlias"}
+# Rows of a file, as bits of a row id; the bits above number the files.
+_FILE_ROWS = 40
+
+
 def text_rows(docs: DataFrame, carry: bool = False) -> DataFrame:
     """``rid, doc_id, text``: one row each, null text as empty, other columns left out.
 
-    ``rid`` tells rows with equal or null ids apart. It repeats for a repeated read of the same
-    table; a frame that a shuffle feeds has to be staged first. ``carry`` adds ``rest``, a struct
-    of all columns but the text, which cannot clash with a name used here; ``restored`` unpacks it.
+    ``rid`` tells rows with equal or null ids apart within one plan. It follows the split of the scan, so another
+    plan may number the rows otherwise: what joins results by it takes ``numbered_rows`` or stages these rows first.
+    ``carry`` adds ``rest``, a struct of all columns but the text, which cannot clash with a name used here;
+    ``restored`` unpacks it.
     """
+    return docs.select(F.monotonically_increasing_id().alias("rid"), *_text(docs, carry))
+
+
+def _text(docs: DataFrame, carry: bool) -> list[Column]:
     rest = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest")] if carry else []
-    return docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id",
-                       F.coalesce("text", F.lit("")).alias("text"), *rest)
+    return [F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *rest]
+
+
+def numbered_rows(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """``text_rows`` with a ``rid`` that stays the same however a later plan splits the scan.
+
+    It is made of the file's number, in the order of the paths, and the row's place in the file. A frame
+    that is no plain scan of files is staged first.
+    """
+    columns = _text(docs, carry)
+    placed = _placed(docs, columns)
+    if placed is None:
+        placed = _placed(stage(docs, "rows"), columns)
+    # One row for each file, which the driver lists anyway.
+    files = stage(placed.select("_path").distinct().withColumn("_file", F.row_number().over(Window.orderBy("_path"))), "row-files")
+    rid = F.shiftleft(F.col("_file").cast("long"), _FILE_ROWS) + F.col("_seat")
+    kept = [c for c in placed.columns if c not in ("_path", "_seat")]
+    return placed.join(broadcast_if_small(files, 400), "_path").select(rid.alias("rid"), *kept)
+
+
+def _placed(docs: DataFrame, columns: list[Column]) -> DataFrame | None:
+    """The columns with ``_path`` and ``_seat``, or None where a row's place in a file is not known."""
+    def nodes(plan) -> list[str]:
+        below = plan.children()
+        return [plan.getClass().getSimpleName(), *(n for k in range(below.size()) for n in nodes(below.apply(k)))]
+
+    if not set(nodes(docs._jdf.queryExecution().analyzed())) <= _SCANS:
+        return None
+    try:
+        place = docs.metadataColumn("_metadata")
+        return docs.select(place["file_path"].alias("_path"), place["row_index"].alias("_seat"), *columns)
+    except AnalysisException:
+        return None
 
 
 def restored(rows: DataFrame, docs: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import restored, row_order, schema_with, text_rows
+from curbline.llm.common import numbered_rows, restored, row_order, schema_with
 from curbline.llm.exact_dedup import filter_cells, flag_repeats, repeated_cells
 from curbline.session import stage
 
@@ -94,7 +94,8 @@ def line_dedup(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, mi
     an empty or null text is one empty line and has no chunk. Two 128-bit hashes that agree for
     different bytes are no repeat: such chunks stay. An empty table gives no rows.
     """
-    rows = text_rows(docs)
+    full = numbered_rows(docs, carry)
+    rows = full.select("rid", "doc_id", "text")
     plain = schema_with(rows, ["rid", "doc_id"], "at int, size int, key binary")
     bodied = schema_with(rows, ["rid", "doc_id"], "at int, size int, key binary, body string")
     chunks = stage(rows.mapInArrow(_chunks(False, window, divisor, min_lines), plain), "line-chunks")
@@ -110,7 +111,6 @@ def line_dedup(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, mi
                    "line-groups")
     drops = (chunks.join(groups, "key").filter("not (rid = rid0 and at = at0)")
              .groupBy("rid").agg(F.collect_list(F.struct("at", "size")).alias("drops")))
-    full = text_rows(docs, carry)
     kept = ["rid", "doc_id", *(["rest"] if carry else [])]
     joined = full.join(drops, "rid", "left")
     return joined.mapInArrow(_without, schema_with(full, kept, "text string, n_lines long, n_removed long"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import schema_with, worker_cache
+from curbline.llm.common import numbered_rows, schema_with, worker_cache
 from curbline.session import stage
 
 # The most frequent words, which every task knows; all others are looked up by a join.
@@ -412,8 +412,8 @@ def score_documents(docs: DataFrame, held_out: Column, hot_words: int = HOT_WORD
     scored each. Without rows to learn from every token is unknown. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.coalesce("text", F.lit("")).alias("text"),
-                       F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    told = docs.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    rows = numbered_rows(told, carry=True).select("rid", "doc_id", "text", F.col("rest.held_out").alias("held_out"))
     learned = rows.filter("not held_out")
     counts = stage(count_tokens(learned), "token-counts")
     tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import restored, row_order, schema_with, text_rows
+from curbline.llm.common import numbered_rows, restored, row_order, schema_with
 from curbline.session import stage
 
 WORDS = 3
@@ -239,28 +239,33 @@ def components(links: DataFrame, a: str = "code", b: str = "other") -> DataFrame
         mark = seen
 
 
-def near_groups(docs: DataFrame, distance: int = DISTANCE, carry: bool = False) -> DataFrame:
-    """``rid, doc_id, code, first`` (``text`` and ``rest`` too with ``carry``) for every row.
+def near_groups(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """``rid, doc_id, code, first`` for every row.
 
     ``first`` is the ``row_order`` struct of the first row of the group: rows whose fingerprints
     are joined by steps of at most ``distance`` bits, copies included. Empty and null texts have
     the fingerprint zero and link like others. Null ids come last; equal ids go by the order of
     the table. An empty table gives no rows.
     """
-    marked = stage(fingerprints(text_rows(docs)), "simhash")
+    return _grouped(numbered_rows(docs), distance)
+
+
+def _grouped(rows: DataFrame, distance: int) -> DataFrame:
+    marked = stage(fingerprints(rows.select("rid", "doc_id", "text")), "simhash")
     distinct = stage(marked.groupBy("code").agg(F.min(row_order()).alias("first")), "simhash-codes")
     roots = components(near_links(distinct.select("code"), distance))
     rooted = distinct.join(roots.withColumnRenamed("node", "code"), "code", "left").withColumn("root", F.coalesce("root", "code"))
     firsts = rooted.groupBy("root").agg(F.min("first").alias("first"))
     # Staged: the join with the rows then deals both sides itself and can split a fingerprint many rows have.
     places = stage(rooted.drop("first").join(firsts, "root").select("code", "first"), "simhash-places")
-    grouped = marked.join(places, "code")
-    if not carry:
-        return grouped.select("rid", "doc_id", "code", "first")
-    return text_rows(docs, carry=True).join(grouped.select("rid", "code", "first"), "rid")
+    return marked.join(places, "code").select("rid", "doc_id", "code", "first")
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """The first row of every group of near-duplicates, with all its columns."""
-    marked = near_groups(docs).filter("rid = first.rid").select("rid")
-    return restored(text_rows(docs, carry=True).join(marked, "rid", "left_semi"), docs)
+def deduplicated(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """The first row of every group of near-duplicates, as ``near_groups`` has them, with all its columns.
+
+    Null and empty texts are one group, of which one row stays; repeated rows are copies. An empty table gives no rows.
+    """
+    rows = numbered_rows(docs, carry=True)
+    kept = _grouped(rows, distance).filter("rid = first.rid").select("rid")
+    return restored(rows.join(kept, "rid", "left_semi"), docs)

@@ -19,8 +19,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import restored, schema_with, text_rows
-from curbline.session import stage
+from curbline.llm.common import numbered_rows, restored, schema_with
+from curbline.session import settled, stage
 
 LENGTH = 400
 GRAM = 64
@@ -28,7 +28,7 @@ STEP = 40
 # A passage of more words than this is long too; every word is WORD bytes of its hash when passages of words are compared.
 WORDS = 50
 WORD = 8
-# A bucket with more different contexts than this is counted window by window on the cluster.
+# A bucket with more different contexts than this is divided before it is sorted.
 CROWD = 1000
 # Windows hashed, and bytes of contexts sorted, in one go.
 BLOCK = 1 << 18
@@ -261,23 +261,71 @@ def _sorted_buckets(length: int):
     return run
 
 
-def _window_digests(length: int):
+def _divided(length: int, narrow: int):
+    """Contexts of crowded buckets to parts whose windows lie within ``narrow`` places before the anchor.
+
+    All windows of a part share the bytes from its farthest place on to the end of its nearest one. With them
+    the bucket is told apart further; equal windows stay together, as they lie at one place.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, 200):
-                batch = whole.slice(start, 200)
-                at, keys, windows = [], [], []
-                for number, context in enumerate(batch.column("context").to_pylist()):
+                out: list[tuple] = []
+                for key, lead, digest, context, copies in zip(*whole.slice(start, 200).to_pydict().values()):
                     count = len(context) - length + 1
-                    at += [number] * count
-                    windows += range(count)
-                    keys += [xxhash.xxh3_128_digest(context[k:k + length]) for k in range(count)]
-                taken = batch.select(["digest", "copies"]).take(pa.array(at, pa.int64()))
-                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(windows, pa.int32()), pa.array(keys, pa.binary())],
-                                                 ["digest", "copies", "window", "key"])
+                    for place in range((lead - count + 1) // narrow, lead // narrow + 1):
+                        # Windows ``lead - high`` to ``lead - low``; the anchor is ``lead`` bytes into the context.
+                        high, low = min(lead, (place + 1) * narrow - 1), max(lead - count + 1, place * narrow)
+                        first, last = lead - high, lead - low
+                        part = context[first:last + length]
+                        # A part need not reach its outermost places, but always holds the bytes they share.
+                        shared = context[max(0, lead - place * narrow):lead - ((place + 1) * narrow - 1) + length]
+                        deeper = xxhash.xxh64_intdigest(shared + key.to_bytes(8, "little", signed=True) + place.to_bytes(4, "little"))
+                        out.append((digest, first, deeper - (1 << 64) if deeper >> 63 else deeper, high,
+                                    xxhash.xxh3_128_digest(part + high.to_bytes(4, "big")), part, copies))
+                columns = list(zip(*out)) or [()] * 7
+                kinds = [pa.binary(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                                 ["whole", "begin", "gram", "lead", "digest", "context", "copies"])
     return run
 
 
+_RANGES = "digest binary, ranges array<struct<first: int, last: int>>"
+
+
+def repeated_ranges(contexts: DataFrame, length: int, gram: int) -> DataFrame:
+    """``digest, ranges`` of the different contexts (``gram, lead, digest, context, copies``) that have repeated windows.
+
+    A bucket is sorted in one task. One with more than ``CROWD`` contexts is divided first: its contexts fall into parts
+    with a quarter of the places before the anchor, which agree in more bytes and are often equal. That goes on until no
+    bucket is crowded; a part of one window agrees in all its bytes, so it ends. Ranges found for parts go back up.
+    """
+    count = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = ["gram", "lead", "digest", "context", "copies"]
+    width, found, above = length - gram + 1, [], []
+    while True:
+        crowded = stage(contexts.groupBy("gram").agg(F.count("*").alias("contexts")).filter(F.col("contexts") > CROWD).select("gram"), "crowded")
+        last = width == 1 or crowded.isEmpty()
+        alone = contexts if last else contexts.join(crowded, "gram", "left_anti")
+        found.append(alone.select(*columns).repartition(count, "gram").sortWithinPartitions("gram").mapInArrow(_sorted_buckets(length), _RANGES))
+        if last:
+            break
+        narrow = -(-width // 4)
+        parts = stage(contexts.join(crowded, "gram", "left_semi").select(*columns).mapInArrow(
+            _divided(length, narrow),
+            "whole binary, begin int, gram long, lead int, digest binary, context binary, copies long"), "parts")
+        above.append(parts.select("whole", "begin", "digest"))
+        contexts = stage(parts.groupBy("gram", "lead", "digest", "context").agg(F.sum("copies").alias("copies")), "contexts")
+        width = narrow
+    ranges = found.pop()
+    while above:
+        # Each part's ranges, counted from the start of the whole context.
+        moved = F.transform("ranges", lambda r: F.struct((r["first"] + F.col("begin")).alias("first"), (r["last"] + F.col("begin")).alias("last")))
+        up = above.pop().join(stage(ranges, "ranges"), "digest").select(F.col("whole").alias("digest"), moved.alias("some"))
+        ranges = found.pop().unionByName(up.groupBy("digest").agg(F.flatten(F.collect_list("some")).alias("ranges")))
+    return stage(ranges, "ranges")
+
+
 def _merged(spans: list[dict], length: int) -> list[tuple[int, int]]:
     """Maximal byte runs covered by windows ``first`` to ``last``."""
     runs: list[list[int]] = []
@@ -345,35 +393,26 @@ def _cut(length: int, as_text: bool):
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, code=str.encode) -> DataFrame:
-    """``rid, spans``: for rows that have any, the windows ``first`` to ``last`` that start elsewhere too.
+def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, code=str.encode) -> DataFrame:
+    """``rid, spans``: for ``numbered_rows`` that have any, the windows ``first`` to ``last`` that start elsewhere too.
 
     The strings are those of ``code(text)``.
     """
     if length % STEP or length < 3 * STEP or not 0 < gram < length:
         raise ValueError(f"length must be a multiple of {STEP} and at least {3 * STEP}, gram shorter")
-    spark = docs.sparkSession
-    rows = text_rows(docs)
-    found = stage(rows.select("rid", "text").mapInArrow(_find_anchors(length, gram, code), "rid long, at long, first long, last long, gram long"),
-                  "anchors")
+    return settled(rows.sparkSession, "spans", lambda: _spans(rows.select("rid", "text"), length, gram, code))
+
+
+def _spans(rows: DataFrame, length: int, gram: int, code) -> DataFrame:
+    found = stage(rows.mapInArrow(_find_anchors(length, gram, code), "rid long, at long, first long, last long, gram long"), "anchors")
     shared = stage(found.groupBy("gram").agg(F.count("*").alias("places")).filter("places > 1").select("gram"), "anchors-shared")
     marks = (found.join(shared, "gram").groupBy("rid")
              .agg(F.collect_list(F.struct("at", "first", "last", "gram")).alias("marks")))
-    held = stage(rows.select("rid", "text").join(marks, "rid"), "suffix-texts")
+    held = stage(rows.join(marks, "rid"), "suffix-texts")
     contexts = held.mapInArrow(_contexts(length, code), "rid long, first long, gram long, lead int, digest binary, context binary")
     # Equal contexts are one context from here on, so copies of a passage are sorted once.
     different = stage(contexts.groupBy("gram", "lead", "digest", "context").agg(F.count("*").alias("copies")), "contexts")
-    crowded = stage(different.groupBy("gram").agg(F.count("*").alias("contexts")).filter(F.col("contexts") > CROWD).select("gram"), "crowded")
-    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = "digest binary, ranges array<struct<first: int, last: int>>"
-    sorted_ranges = (different.join(crowded, "gram", "left_anti").repartition(count, "gram").sortWithinPartitions("gram")
-                     .mapInArrow(_sorted_buckets(length), ranges))
-    keyed = stage(different.join(crowded, "gram", "left_semi").select("digest", "copies", "context")
-                  .mapInArrow(_window_digests(length), "digest binary, copies long, window int, key binary"), "windows")
-    again = stage(keyed.groupBy("key").agg(F.sum("copies").alias("places")).filter("places > 1").select("key"), "windows-again")
-    counted = (keyed.join(again, "key").groupBy("digest")
-               .agg(F.collect_list(F.struct(F.col("window").alias("first"), F.col("window").alias("last"))).alias("ranges")))
-    results = stage(sorted_ranges.unionByName(counted), "ranges")
+    results = repeated_ranges(different, length, gram)
     places = contexts.select("rid", "first", "digest").join(results, "digest")
     moved = F.transform("ranges", lambda r: F.struct((r["first"] + F.col("first")).alias("first"), (r["last"] + F.col("first")).alias("last")))
     return places.select("rid", moved.alias("some")).groupBy("rid").agg(F.flatten(F.collect_list("some")).alias("spans"))
@@ -387,16 +426,16 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Dat
     of a long passage goes, repeated rows included. Null and empty texts, like all texts shorter
     than ``length``, keep their bytes. An empty table gives no rows.
     """
-    rows = text_rows(docs)
-    joined = rows.join(repeated_spans(docs, length, gram), "rid", "left")
+    rows = numbered_rows(docs)
+    joined = rows.join(repeated_spans(rows, length, gram), "rid", "left")
     return joined.mapInArrow(_cut(length, False), schema_with(
         rows, ["rid", "doc_id"], "n_bytes long, n_removed long, n_spans long, kept binary"))
 
 
 def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``docs`` with the repeated bytes of its texts taken out, but for characters covered in part; all rows stay."""
-    rows = text_rows(docs, carry=True)
-    joined = rows.join(repeated_spans(docs, length, gram), "rid", "left")
+    rows = numbered_rows(docs, carry=True)
+    joined = rows.join(repeated_spans(rows, length, gram), "rid", "left")
     cut = joined.mapInArrow(_cut(length, True), schema_with(
         rows, ["rid", "doc_id", "rest"], "n_bytes long, n_removed long, n_spans long, text string"))
     return restored(cut, docs)
@@ -406,11 +445,12 @@ def without_passages(docs: DataFrame) -> DataFrame:
     """``deduplicated``, with the passages of over ``WORDS`` words that stand elsewhere too taken out as well, however few bytes.
 
     Words are compared by a 64-bit hash each, white space between them is not. Both kinds are judged on
-    the input, so neither hides a copy from the other.
+    the input, so neither hides a copy from the other. All rows stay, those with repeated ids too; null texts become empty
+    ones, repeated rows lose what they share, an empty table gives no rows.
     """
-    rows = text_rows(docs, carry=True)
-    by_words = repeated_spans(docs, WORD * WORDS, GRAM, word_codes).withColumnRenamed("spans", "word_spans")
-    joined = rows.join(repeated_spans(docs), "rid", "left").join(by_words, "rid", "left")
+    rows = numbered_rows(docs, carry=True)
+    by_words = repeated_spans(rows, WORD * WORDS, GRAM, word_codes).withColumnRenamed("spans", "word_spans")
+    joined = rows.join(repeated_spans(rows), "rid", "left").join(by_words, "rid", "left")
     cut = joined.mapInArrow(_cut(LENGTH, True), schema_with(
         rows, ["rid", "doc_id", "rest"], "n_bytes long, n_removed long, n_spans long, text string"))
     return restored(cut, docs)
