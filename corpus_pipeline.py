@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
-from curbline.llm import line_dedup, near_copies, packing, suffix_dedup, toxicity
-from curbline.session import stage
+from curbline.llm import line_dedup, packing, simhash, suffix_dedup, toxicity
+from curbline.session import settled
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,7 +20,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_copies.deduplicated(docs)
+    """Of the documents joined by fingerprints of three words at most three bits apart, the first."""
+    return simhash.deduplicated(docs)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,10 +40,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The packed pieces of what all stages keep of ``documents``; results between stages are staged."""
+    """The packed pieces of what all stages keep of ``documents``.
+
+    Each stage's result is staged; what a stage wrote on the way is removed with it.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for number, (name, function) in enumerate(STAGES):
-        docs = function(spark, docs, sf_dir)
-        if number < len(STAGES) - 1:
-            docs = stage(docs, f"pipeline-{number}")
-    return docs
+    for number, (_, function) in enumerate(STAGES[:-1]):
+        docs = settled(spark, f"pipeline-{number}", partial(function, spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
