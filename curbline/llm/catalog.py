@@ -55,7 +55,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.suffix_dedup(documents(spark, sf_dir))
     # A cut may leave part of a character; the text shows it as a replacement sign.
-    text = F.decode(F.col("kept"), F.lit("UTF-8"))
+    text = F.make_valid_utf8(F.col("kept").cast("string"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), text.alias("text"))
 
 
