@@ -7,6 +7,7 @@ import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from curbline import schema
@@ -129,7 +130,7 @@ def backfill(job: Job, first: dt.datetime | str, last: dt.datetime | str) -> dic
     for interval in days(first, last):
         try:
             report[interval.start.isoformat()] = job.run(interval)
-        except ValueError as why:
+        except (ValueError, PySparkException) as why:
             log.warning("%s failed: %s", interval.start, why)
             report[interval.start.isoformat()] = {**job.status, "failed": str(why)}
     if any("failed" in status for status in report.values()):

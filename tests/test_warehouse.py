@@ -1,12 +1,15 @@
 """Tables, merges, retention and expectations."""
 
 import datetime as dt
+import pathlib
+from collections import Counter
 
 import pytest
 
 from curbline import schema
 from curbline.functions.timing import Interval
 from curbline.operators import merge, quality, stats
+from curbline.sources import snapshots
 from curbline.sources import warehouse as module
 from curbline.sources.warehouse import Warehouse
 
@@ -133,6 +136,106 @@ def test_scans_open_the_days_asked_for(spark, store):
     assert len(df.inputFiles()) == 10 and sorted(r.distinct_ids for r in df.collect()) == [3, 4]
 
 
+def live_folders(store, table):
+    return store.snapshots(table).current()[1]
+
+
+def test_reader_sees_all_of_a_commit_or_nothing(spark, store, monkeypatch):
+    """Two days change; a read between the written folders and the commit sees the old days, also after a crash."""
+    table = schema.MART_DISTINCT_IDS
+    store.upsert(table, distinct_rows(spark, [("a", 1, 5), ("a", 2, 6), ("a", 3, 7)]))
+    planned = store.read(table)
+    seen, move = [], snapshots.Snapshots._move
+
+    def between(self, number, entries):
+        seen.append({r.time.day: r.distinct_ids for r in store.read(table).collect()})
+        if len(seen) == 1:
+            raise OSError("lost")
+        return move(self, number, entries)
+    monkeypatch.setattr(snapshots.Snapshots, "_move", between)
+    new = distinct_rows(spark, [("a", 1, 50), ("a", 2, 60)])
+    with pytest.raises(OSError):
+        store.upsert(table, new)
+    store.upsert(table, new)
+    assert seen == [{1: 5, 2: 6, 3: 7}] * 2
+    assert {r.time.day: r.distinct_ids for r in store.read(table).collect()} == {1: 50, 2: 60, 3: 7}
+    # A frame planned on the version before still finds its files.
+    assert sorted(r.distinct_ids for r in planned.collect()) == [5, 6, 7]
+
+
+def test_two_writers_lose_nothing(spark, store, monkeypatch):
+    """While one writer prepares its commit another one commits; the first starts again from that."""
+    table = schema.MART_DISTINCT_IDS
+    store.create(table)
+    move, raced = snapshots.Snapshots._move, []
+
+    def late(self, number, entries):
+        if not raced:
+            raced.append(True)
+            Warehouse(spark, store.root).upsert(table, distinct_rows(spark, [("b", 1, 2), ("a", 1, 9)]))
+        return move(self, number, entries)
+    monkeypatch.setattr(snapshots.Snapshots, "_move", late)
+    store.upsert(table, distinct_rows(spark, [("a", 1, 1)]))
+    assert {r.provider: r.distinct_ids for r in store.read(table).collect()} == {"a": 1, "b": 2}
+
+
+def test_an_upsert_writes_the_touched_days_only(spark, store):
+    table = schema.MART_DISTINCT_IDS
+    store.upsert(table, distinct_rows(spark, [("a", d, d) for d in range(1, 6)]))
+    for n in range(6):
+        store.upsert(table, distinct_rows(spark, [("a", 4, 40 + n)]))
+    first, last = live_folders(store, table)
+    assert sorted(first.values) == [f"day=2023-01-0{d}" for d in (1, 2, 3, 5)] and last.values == ("day=2023-01-04",)
+    # Old versions are gone, and with them the folders only they named.
+    data = pathlib.Path(store.path(table)) / "data"
+    assert len(list(data.iterdir())) == 1 + snapshots.KEPT and not (data / first.folder / "day=2023-01-04").exists()
+    assert sorted(r.distinct_ids for r in store.read(table).collect()) == [1, 2, 3, 5, 45]
+
+
+def test_parts_are_merged_by_levels(spark, tmp_path, monkeypatch):
+    """Few folders whatever the number of parts; a repeat of a merged part and a crash in a merge change nothing."""
+    store, table = Warehouse(spark, str(tmp_path / "store"), fan=3), schema.IDS
+    for n in range(14):
+        store.contribute(table, ids(spark, [("x", "p", 1 + n, 2 + n, 1), (f"v{n}", "p", 1, 1, 5)]), f"b{n}")
+    # 14 = 112 to base 3.
+    assert sorted(e.level for e in live_folders(store, table)) == [0, 0, 1, 2]
+
+    def totals():
+        return {r.id: (r.first_seen.day, r.last_seen.day, r.datapoints) for r in store.read(table).collect()}
+    expected = {"x": (1, 15, 14)} | {f"v{n}": (1, 1, 5) for n in range(14)}
+    assert totals() == expected
+    store.contribute(table, ids(spark, [("x", "p", 1, 2, 1), ("v0", "p", 1, 1, 5)]), "b0")
+    assert totals() == expected
+    assert sorted(v for e in live_folders(store, table) for v in e.values) == sorted(f"b{n}" for n in range(14))
+    store.contribute(table, ids(spark, [("x", "p", 1, 2, 4)]), "b1")
+    assert totals() == {k: v for k, v in expected.items() if k != "v1"} | {"x": (1, 15, 17)}
+    before, put = totals(), Warehouse._put_parts
+
+    def crash(self, table, df, parts, level=0):
+        if level:
+            raise OSError("lost")
+        return put(self, table, df, parts, level)
+    monkeypatch.setattr(Warehouse, "_put_parts", crash)
+    failed = 0
+    for n in range(14, 17):
+        try:
+            store.contribute(table, ids(spark, [("x", "p", 1, 2, 1)]), f"b{n}")
+        except OSError:
+            failed += 1
+    assert failed and totals() == before | {"x": (1, 15, 20)}
+    monkeypatch.undo()
+    store.compact(table)
+    assert totals() == before | {"x": (1, 15, 20)}
+    assert all(n < 3 for n in Counter(e.level for e in live_folders(store, table)).values())
+
+
+def test_other_layouts_are_not_overwritten(spark, store):
+    folder = pathlib.Path(store.path(schema.MART_DISTINCT_IDS)) / "day=2023-01-01"
+    folder.mkdir(parents=True)
+    with pytest.raises(ValueError, match="without versions"):
+        store.create(schema.MART_DISTINCT_IDS)
+
+
 def test_retention(spark, store):
     table = schema.MART_DISTINCT_IDS
     store.upsert(table, distinct_rows(spark, [("a", 1, 5), ("b", 2, 6), ("a", 3, 7)]))
