@@ -5,6 +5,7 @@ import json
 
 import pytest
 from conftest import TRACK
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from curbline import schema
@@ -207,6 +208,17 @@ def test_failed_day_is_raised_at_the_end(spark, streets, tmp_path, monkeypatch):
     assert ran == [1, 2] and [s.get("failed") for s in failure.value.report.values()] == ["no good", None]
 
 
+def test_later_days_run_after_a_spark_error(monkeypatch):
+    def run(self, interval):
+        if interval.start.day == 1:
+            raise PySparkException("lost")
+        return {"path": "done"}
+    monkeypatch.setattr(Job, "run", run)
+    with pytest.raises(BackfillFailed) as failed:
+        backfill(Job(None, None, None, []), "2024-01-01", "2024-01-03")
+    assert ["failed" in status for status in failed.value.report.values()] == [True, False]
+
+
 def test_job_over_stored_tables(spark, streets, tmp_path):
     append_observations(track_documents(spark), str(tmp_path / "obs"))
     for name, df in zip(("nodes", "edges"), streets):
