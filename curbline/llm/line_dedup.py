@@ -3,47 +3,71 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import numbered_rows, restored, row_order, schema_with
+from curbline.llm.common import BLANKS, numbered_rows, restored, row_order, schema_with
 from curbline.llm.exact_dedup import filter_cells, flag_repeats, repeated_cells
 from curbline.session import stage
 
-# A chunk ends after a line when the rolling hash over this many line hashes is a multiple of DIVISOR.
+# The rolling hash runs over the hashes of this many lines.
 WINDOW = 2
-DIVISOR = 3
 MIN_LINES = 2
+# One line so many times in a row is a passage of its own, in blocks of MIN_LINES.
+RUN = 3
 _BASE = 0x9E3779B97F4A7C15
 _WORD = (1 << 64) - 1
 
 
-def chunk_spans(lines: list[str], window: int = WINDOW, divisor: int = DIVISOR) -> list[tuple[int, int]]:
+def chunk_spans(lines: list[str], window: int = WINDOW) -> list[tuple[int, int]]:
     """``(first line, line count)`` of the chunks, in order.
 
-    Whether a chunk ends after a line depends on that line and the ``window - 1`` lines before
-    it alone, so lines put in elsewhere move no boundary of an unchanged passage.
+    Equal lines in a row count as one here. A boundary lies after a line whose rolling hash, over the
+    ``window`` lines up to it, is less than a neighbour's: that depends on ``window + 1`` lines alone, so lines
+    put in elsewhere move none, and of any ``window + 1`` lines in a row the last or the one before has one. A
+    chunk reaches from the window of one boundary to the next boundary, so that what tells its ends apart
+    lies inside it; the ends of a text are boundaries as well. With windows of two lines a chunk has three or
+    four, and five lines in a row that stand elsewhere too share a whole one, whatever stands around them.
     """
-    spans, start, rolling, recent = [], 0, 0, []
+    firsts = [n for n in range(len(lines)) if not n or lines[n] != lines[n - 1]]
+    ends = [*firsts[1:], len(lines)]
+    digests = [xxhash.xxh64_intdigest(lines[n].encode()) for n in firsts]
     leaving = pow(_BASE, window, 1 << 64)
-    for number, line in enumerate(lines):
-        digest = xxhash.xxh64_intdigest(line.encode())
-        recent.append(digest)
+    hashes, rolling = [], 0
+    for number, digest in enumerate(digests):
         rolling = (rolling * _BASE + digest) & _WORD
-        if len(recent) > window:
-            rolling = (rolling - recent.pop(0) * leaving) & _WORD
-        if (rolling >> 20) % divisor == 0:
-            spans.append((start, number + 1 - start))
-            start = number + 1
-    if start < len(lines):
-        spans.append((start, len(lines) - start))
+        if number >= window:
+            rolling = (rolling - digests[number - window] * leaving) & _WORD
+        if number >= window - 1:
+            hashes.append(rolling)
+    last = len(hashes) - 1
+    cuts = [k + window - 1 for k, h in enumerate(hashes)
+            if k < last and h < hashes[k + 1] or k > 0 and h <= hashes[k - 1]]
+    spans, start = [], 0
+    for cut in cuts if cuts and cuts[-1] == len(firsts) - 1 else [*cuts, len(firsts) - 1]:
+        if cut > start:
+            spans.append((firsts[start], ends[cut] - firsts[start]))
+        start = cut - window + 1
     return spans
 
 
-def _chunks(with_body: bool, window: int, divisor: int, min_lines: int):
+def run_spans(lines: list[str], run: int = RUN) -> list[tuple[int, int]]:
+    """Blocks of two lines of the runs of one line, unless it is blank; the last of an odd run has three."""
+    spans, first = [], 0
+    for _, same in groupby(lines):
+        count = sum(1 for _ in same)
+        if count >= run and lines[first].strip(BLANKS):
+            blocks = count // 2
+            spans += [(first + 2 * k, 2 + (count % 2 if k == blocks - 1 else 0)) for k in range(blocks)]
+        first += count
+    return spans
+
+
+def _chunks(with_body: bool, window: int, min_lines: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, at, count, keys, bodies = [], [], [], [], []
@@ -51,13 +75,15 @@ def _chunks(with_body: bool, window: int, divisor: int, min_lines: int):
                 lines = text.split("\n")
                 if len(lines) < min_lines:
                     continue
-                for first, size in chunk_spans(lines, window, divisor):
-                    if size >= min_lines:
-                        body = "\n".join(lines[first:first + size])
-                        row.append(number)
-                        at.append(first)
-                        count.append(size)
-                        keys.append(xxhash.xxh3_128_digest(body.encode()))
+                found = [(a, n, n) for a, n in chunk_spans(lines, window) if n >= min_lines]
+                found += [(a, n, 2) for a, n in run_spans(lines)]
+                for first, size, compared in found:
+                    body = "\n".join(lines[first:first + compared])
+                    row.append(number)
+                    at.append(first)
+                    count.append(size)
+                    keys.append(xxhash.xxh3_128_digest(body.encode()))
+                    if with_body:
                         bodies.append(body)
             picked = batch.select([c for c in batch.schema.names if c != "text"]).take(pa.array(row, pa.int64()))
             columns = [*picked.columns, pa.array(at, pa.int32()), pa.array(count, pa.int32()), pa.array(keys, pa.binary())]
@@ -84,13 +110,15 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [*kept.schema.names, "text", "n_lines", "n_removed"])
 
 
-def line_dedup(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, min_lines: int = MIN_LINES,
-               carry: bool = False) -> DataFrame:
+def line_dedup(docs: DataFrame, window: int = WINDOW, min_lines: int = MIN_LINES, carry: bool = False) -> DataFrame:
     """``rid, doc_id, text, n_lines, n_removed`` (and ``rest``) for every row: texts without repeated chunks.
 
     A chunk of at least ``min_lines`` lines that occurs again, in any row or further on in the
     same one, stays where its document has the smallest ``doc_id`` (null ids last, then the order
-    of the table, then of the lines) and is taken out elsewhere. Lines end at a line feed only;
+    of the table, then of the lines) and is taken out elsewhere. Chunks overlap: a line goes when any chunk
+    over it goes, and every line that goes stands at an earlier place too, so each stays somewhere. Of a run of
+    ``window + 3`` or more lines that stands elsewhere too, all but the line at each end goes for sure. One
+    line three times or more in a row is compared by blocks of two: the first block of the table stays. Lines end at a line feed only;
     an empty or null text is one empty line and has no chunk. Two 128-bit hashes that agree for
     different bytes are no repeat: such chunks stay. An empty table gives no rows.
     """
@@ -98,9 +126,9 @@ def line_dedup(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, mi
     rows = full.select("rid", "doc_id", "text")
     plain = schema_with(rows, ["rid", "doc_id"], "at int, size int, key binary")
     bodied = schema_with(rows, ["rid", "doc_id"], "at int, size int, key binary, body string")
-    chunks = stage(rows.mapInArrow(_chunks(False, window, divisor, min_lines), plain), "line-chunks")
+    chunks = stage(rows.mapInArrow(_chunks(False, window, min_lines), plain), "line-chunks")
     cells = filter_cells(chunks.count())
-    bodies = rows.mapInArrow(_chunks(True, window, divisor, min_lines), bodied)
+    bodies = rows.mapInArrow(_chunks(True, window, min_lines), bodied)
     # Only bodies whose hash may repeat move; grouping by the bytes is the comparison.
     repeats = flag_repeats(bodies, "key", repeated_cells(chunks, "key", cells), cells).filter("may_repeat")
     order = F.struct(*[row_order()[c].alias(c) for c in ("no_id", "doc_id", "rid")], F.col("at"))

@@ -127,20 +127,73 @@ def test_line_dedup(docs, rows):
     found = {(r.rid): r for r in line_dedup.line_dedup(docs).collect()}
     order = sorted(range(len(rows)), key=lambda k: (docs_id(docs, k) is None, docs_id(docs, k) or 0, k))
     texts = [r.text or "" for r in docs.collect()]
-    copies = Counter("\n".join(t.split("\n")[a:a + n]) for t in texts for a, n in line_dedup.chunk_spans(t.split("\n")) if n >= 2)
     seen, expected = set(), {}
     for k in order:
-        lines, kept = texts[k].split("\n"), []
-        for a, n in line_dedup.chunk_spans(lines):
-            body = "\n".join(lines[a:a + n])
-            if n < 2 or copies[body] < 2 or body not in seen:
-                kept += lines[a:a + n]
+        lines, gone = texts[k].split("\n"), set()
+        units = [(a, n, "\n".join(lines[a:a + n])) for a, n in line_dedup.chunk_spans(lines) if n >= 2]
+        units += [(a, n, "\n".join(lines[a:a + 2])) for a, n in line_dedup.run_spans(lines)]
+        for a, n, body in sorted(units):
+            if body in seen:
+                gone |= set(range(a, a + n))
             seen.add(body)
-        expected[k] = "\n".join(kept)
+        expected[k] = "\n".join(line for n, line in enumerate(lines) if n not in gone)
     assert [found[rid].text for rid in sorted(found)] == [expected[k] for k in range(len(rows))]
     assert sum(r.n_removed for r in found.values()) > 0
 
 
+def test_repeated_lines_by_brute_force(spark):
+    """Without chunks: which lines must go, which may, and what has to stay."""
+    rng = random.Random(11)
+    line = lambda: " ".join(str(rng.randint(0, 999)) for _ in range(4))
+    passages = [[line() for _ in range(n)] for n in (2, 3, 4, 5, 6, 7, 9, 15) for _ in range(5)]
+    texts = [[line() for _ in range(rng.randint(0, 6))] + (rng.choice(passages) if rng.random() < 0.8 else [])
+             + [line() for _ in range(rng.randint(0, 3))] + rng.choice(passages)[rng.randint(0, 2):] for _ in range(120)]
+    texts += [["same"] * 7, [line(), *["same"] * 4, line()], ["a b", "c d"] * 5, [line(), "", "", "", line()], ["", "", ""], ["one"], []]
+    table = spark.createDataFrame([(k, "\n".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: r for r in line_dedup.line_dedup(table.repartition(4)).collect()}
+    texts = [t or [""] for t in texts]
+    gone, left = {}, set()
+    for k, lines in enumerate(texts):
+        kept, at = found[k].text.split("\n"), 0
+        gone[k] = set()
+        # What is left is a subsequence; lines within a text differ but in the made-up runs.
+        for n, text in enumerate(lines):
+            if len(lines) - n > len(kept) - at and (at == len(kept) or kept[at] != text or not kept[at:]):
+                gone[k].add(n)
+            else:
+                at += 1
+        left |= set(kept)
+        assert found[k].n_lines == len(lines) and found[k].n_removed == (len(lines) if found[k].text == "" and len(lines) > 1 else len(lines) - len(kept))
+    assert {line for lines in texts for line in lines if line} <= left
+
+    def windows(size):
+        return [(tuple(t[n:n + size]), k, n) for k, t in enumerate(texts) for n in range(len(t) - size + 1)]
+
+    def lone(k, n):
+        around = texts[k][max(n - 1, 0):n + 6]
+        return len(set(around)) == len(around)
+
+    fives, pairs, must = {}, {}, 0
+    for body, k, n in windows(2):
+        pairs.setdefault(body, []).append((k, n))
+    for body, k, n in windows(5):
+        if lone(k, n):
+            fives.setdefault(body, []).append((k, n))
+    for places in fives.values():
+        for k, n in places[1:]:
+            must += 1
+            assert found[k].text == "" or {n + 1, n + 2, n + 3} <= gone[k]
+    assert must > 100
+    for k, lines in enumerate(texts):
+        if len(set(lines)) == len(lines):
+            for n in gone[k]:
+                near = [(tuple(lines[m:m + 2]), m) for m in (n - 1, n) if 0 <= m < len(lines) - 1]
+                assert any(pairs[body][0] < (k, m) for body, m in near)
+    run = len(texts) - 7
+    assert found[run].text == "same\nsame" and "same" not in found[run + 1].text
+    assert found[run + 3].n_removed == 0 and found[run + 4].n_removed == 0
+
+
 def docs_id(docs, k, cache={}):
     if id(docs) not in cache:
         cache[id(docs)] = [r.doc_id for r in docs.collect()]
