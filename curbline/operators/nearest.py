@@ -4,7 +4,8 @@ Nodes, the small and slowly changing side, are published to the nine grid cells
 them; positions join on their own cell only, so the large side is neither copied nor
 shuffled when the planner finds the nodes small enough to broadcast. A match is final
 when it is no farther than the cell width, which the nine cells always cover; the
-positions left over go on to a grid of twice the width.
+positions left over go on to a grid of twice the width. Where a cell of the grid is crowded,
+quadtrees stand in for its nodes (``crowded_cells``), so a position meets few of them.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbline.functions.geo import great_circle, lv03
+from curbline.operators import crowded_cells
 from curbline.session import broadcast_if_small, stage
 from curbline.sources.streets import MODES
 
@@ -74,7 +76,11 @@ def nearest_nodes(points: DataFrame, nodes: DataFrame, key: Sequence[str],
     placed = F.coalesce(F.col("x") - F.col("x") == 0, F.lit(False)) & F.coalesce(F.col("y") - F.col("y") == 0, F.lit(False))
     width, rest, found = cell_m, points, []
     while True:
-        snapped = stage(_snap(rest, nodes, key, modes, width), "nearest")
+        if crowded_cells.crowded(nodes, width):
+            best = crowded_cells.snap(rest, crowded_cells.tree(nodes, width), key, modes, width)
+        else:
+            best = _snap(rest, nodes, key, modes, width)
+        snapped = stage(best, "nearest")
         settled = F.lit(True)
         for m in modes:
             near = F.coalesce(F.col(f"node_{m}_m") <= width * CELL_SAFETY, F.lit(False))
