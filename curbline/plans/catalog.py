@@ -286,6 +286,14 @@ def stream_registry(spark, sf_dir):
     return store.read(schema.IDS)
 
 
+def stream_settled_counts(spark, sf_dir):
+    """Bins that ended ten minutes before the newest row, streamed to an append-only table; every row is sent twice."""
+    sink, seen = scratch_path(spark, "settled-bins"), ev.observations(spark, sf_dir, streaming=True)
+    twice = seen.withColumn("again", F.explode(F.array(F.lit(0), F.lit(1)))).drop("again")
+    streams.settled_counts(twice, sink, scratch_path(spark, "settled-state"), available_now=True).awaitTermination()
+    return spark.read.schema("time timestamp, provider string, city_bfs_id int, count_datapoints long").parquet(sink)
+
+
 def registry_rerun(spark, sf_dir):
     """Two overlapping intervals added to the stored registry, the first one twice, the second between."""
     store = Warehouse(spark, scratch_path(spark, "rerun-store"))
@@ -348,7 +356,7 @@ QUERIES: tuple[Query, ...] = (
     street_clip, nearest_node, shortest_path, path_table, path_vertices, path_length, mart_edges,
     mart_distinct_ids, mart_distinct_ids_day, mart_vehicle_age, trip_numbers, mart_trip_distance, upsert_replace, upsert_accumulate,
     retention_keep, rows_in_interval, not_null_report, collect_enrich, offering_providers,
-    stream_provider_stats, stream_registry, registry_rerun, pages_scan, explore_scan, distance_from_last_row, moved_datapoints, distance_from_point, tz_convert,
+    stream_provider_stats, stream_registry, stream_settled_counts, registry_rerun, pages_scan, explore_scan, distance_from_last_row, moved_datapoints, distance_from_point, tz_convert,
     *stored.QUERIES,
 )
 

@@ -344,6 +344,11 @@ FROM obs JOIN feed ON provider_id = pid WHERE offers""")
         OBS + ",\npts AS (SELECT o.*, c.city_bfs_id FROM obs o JOIN cities c ON " + _INSIDE + ")",
         """SELECT vehicle AS id, last(provider ORDER BY time, provider) AS provider, city_bfs_id, min(time) AS first_seen,
   max(time) AS last_seen, count(DISTINCT (provider, time)) AS datapoints FROM pts GROUP BY vehicle, city_bfs_id""")
+    q["stream_settled_counts"] = _with(
+        OBS + ",\npts AS (SELECT o.*, c.city_bfs_id FROM obs o JOIN cities c ON " + _INSIDE + ")",
+        """SELECT time_bucket(INTERVAL 2 MINUTE, runtime) AS time, provider, city_bfs_id,
+  count(DISTINCT (id, runtime)) AS count_datapoints FROM pts GROUP BY 1, 2, 3
+HAVING max(time_bucket(INTERVAL 2 MINUTE, runtime)) + INTERVAL 12 MINUTE <= (SELECT max(runtime) FROM pts)""")
     q["registry_rerun"] = q["upsert_accumulate"]
     q["pages_scan"] = _with(OBS, """SELECT id, vehicle, pid AS provider, round(lon, 6) AS lon, round(lat, 6) AS lat,
   CASE WHEN CAST(floor(epoch(runtime)) AS BIGINT) % 7 <> 0 THEN true END AS available FROM obs""")

@@ -1,5 +1,5 @@
-"""Streaming jobs. Each returns a started query that keeps no state but its read offsets: a
-micro-batch is written under keys or names that a repeat writes again."""
+"""Streaming jobs. Each returns a started query. All but ``settled_counts`` keep no state but their read
+offsets: a micro-batch is written under keys or names that a repeat writes again."""
 
 from __future__ import annotations
 
@@ -91,3 +91,20 @@ def registry(observations: DataFrame, target: Warehouse, checkpoint: str, region
         Warehouse(batch.sparkSession, target.root).contribute(schema.IDS, rows, name)
 
     return _start(observations, apply, checkpoint, available_now, every)
+
+
+def settled_counts(observations: DataFrame, sink: str, checkpoint: str, late: str = "10 minutes",
+                   regions: Sequence[Region] = REGIONS, available_now: bool = False) -> StreamingQuery:
+    """Two-minute bins that are written once, when no row of theirs can come any more.
+
+    Beside the keyed repair of ``provider_stats``, for sinks that only take new rows: a vehicle's repeated
+    collection counts once, rows up to ``late`` behind the newest one still count, rows of a bin that was
+    written are dropped. State holds the bins and keys of that time only.
+    """
+    keys = ["id", "provider", "city_bfs_id", "runtime"]
+    once = scan_status(observations, None, regions).withWatermark("runtime", late).dropDuplicatesWithinWatermark(keys)
+    bins = once.groupBy("provider", "city_bfs_id", F.window("runtime", stats.BIN).alias("bin")).agg(
+        F.count(F.lit(1)).alias("count_datapoints"), F.sum("available").alias("count_available"))
+    rows = bins.select(F.col("bin.start").alias("time"), "provider", "city_bfs_id", "count_datapoints", "count_available")
+    writer = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="2 minutes")).start(sink)

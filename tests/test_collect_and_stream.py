@@ -155,6 +155,23 @@ def test_streamed_statistics_equal_batch(spark, tmp_path):
     assert got == sorted(map(tuple, batch.collect())) and {r[4] for r in got} == {2, 3}
 
 
+def test_settled_bins_are_written_once(spark, tmp_path):
+    """Late rows count while their bin is open, repeats count once, rows behind a written bin are dropped."""
+    table, sink = str(tmp_path / "obs"), str(tmp_path / "sink")
+    base = dt.datetime(2023, 1, 1, 10)
+    # Batches of (vehicle, minutes after ten).
+    batches = [[("a", 0), ("b", 1), ("a", 0)], [("c", 9), ("d", 1), ("b", 1)], [("e", 30)], [("late", 1), ("f", 25)], [("g", 60)]]
+    for batch in batches:
+        rows = [(f"s-{v}", {"coordinates": [8.73, 47.5]},
+                 {"id": v, "available": True, "provider": {"id": "bolt", "name": "Bolt", "apps": None},
+                  "vehicle": {"status": {"disabled": False, "reserved": False}}},
+                 base + dt.timedelta(minutes=m), base) for v, m in batch]
+        append_observations(spark.createDataFrame(rows, schema.OBSERVATION_DDL), table)
+        jobs.settled_counts(jobs.stream_observations(spark, table), sink, str(tmp_path / "state"), available_now=True).awaitTermination()
+    found = {(int((r.time - base).total_seconds()) // 60, r.count_datapoints) for r in spark.read.parquet(sink).collect()}
+    assert found == {(0, 3), (8, 1), (24, 1), (30, 1)} and spark.read.parquet(sink).count() == 4
+
+
 def test_streamed_registry_equals_batch(spark, tmp_path):
     table, store = str(tmp_path / "obs"), Warehouse(spark, str(tmp_path / "store"))
     append_observations(track_documents(spark), table)
