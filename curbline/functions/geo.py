@@ -150,3 +150,10 @@ def line_length(points: Column) -> Column:
         .otherwise(at["m"] + planar_distance(at["x"], at["y"], v["x"], v["y"])).alias("m"),
         (at["n"] + 1).alias("n")), lambda at: at["m"])
     return F.when(F.size(points) >= 2, walked)
+
+
+def legs_length(points: list[tuple[Column, Column]]) -> Column:
+    """``line_length`` of a line whose vertices are known one by one, without a loop over an array."""
+    planar = [lv03(lon, lat) for lon, lat in points]
+    legs = [planar_distance(*a, *b) for a, b in zip(planar, planar[1:])]
+    return sum(legs[1:], legs[0])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from curbline.functions.geo import mercator, planar_distance
 from curbline.functions.timing import Interval, same_day_range, ts
-from curbline.operators.stays import SLICE_SECONDS, VEHICLE, time_slice
+from curbline.operators.stays import SLICE_SECONDS, SORTED_SLICE, SORTED_VEHICLE, VEHICLE, time_slice
 
 HOUR_US = 3_600_000_000
 
@@ -34,7 +34,7 @@ def edges(path: DataFrame, interval: Interval, slice_seconds: int = SLICE_SECOND
     their time slice whole and are expanded there; the last vertex of each slice is
     carried into the next one.
     """
-    keys = [*VEHICLE, "slice"]
+    keys = list(SORTED_SLICE)
     rows = (path.where(interval.covers(F.col("time_from")) & F.col("path_walk_since_last").isNotNull())
             .select(*VEHICLE, "provider", "time_from", "time_to", "path_walk_since_last")
             .withColumn("slice", time_slice(F.col("time_to"), slice_seconds)))
@@ -42,7 +42,7 @@ def edges(path: DataFrame, interval: Interval, slice_seconds: int = SLICE_SECOND
         "time_to", F.size("path_walk_since_last").alias("n"), "time_from",
         F.element_at("path_walk_since_last", -1).alias("point"))).alias("tail"))
     carried = tails.select(*keys, F.lag("tail.point").over(
-        W.partitionBy(*VEHICLE).orderBy("slice")).alias("carried"))
+        W.partitionBy(*SORTED_VEHICLE).orderBy("slice")).alias("carried"))
     in_slice = W.partitionBy(*keys).orderBy("time_to", "path_idx", "time_from")
     vertices = path_vertices(rows.repartition(*keys)).withColumn("before", F.lag("vertex").over(in_slice))
     return (vertices.join(carried, keys, "left")

@@ -15,8 +15,12 @@ from pyspark.sql import functions as F
 
 def replace(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``target`` whose key is not updated, and all ``updates``."""
-    kept = target.join(updates.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(updates.select(*target.columns))
+    return unreplaced(target, updates, keys).unionByName(updates.select(*target.columns))
+
+
+def unreplaced(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``target`` whose key is not updated."""
+    return target.join(updates.select(*keys), list(keys), "left_anti")
 
 
 def accumulate(target: DataFrame, updates: DataFrame) -> DataFrame:

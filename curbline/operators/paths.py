@@ -85,11 +85,15 @@ def path_rows(stays: DataFrame, start: dt.datetime | str, modes: Sequence[str] =
 
 
 def one_region_per_key(rows: DataFrame, regions: Sequence[Region] = REGIONS) -> DataFrame:
-    """The key has no region, and boxes overlap: the region last in the list keeps the row."""
-    rank = region_rank(F.col("city_bfs_id"), regions)
-    payload = F.struct(rank.alias("_rank"), *rows.columns)
-    return (rows.groupBy("id", "time_from").agg(F.max(payload).alias("row"))
-            .select(*[F.col(f"row.{c}").alias(c) for c in rows.columns]))
+    """The key has no region, and boxes overlap: the region last in the list keeps the row.
+
+    Hardly any key repeats, so rows move at once: nothing would be gained by combining them before.
+    """
+    columns = rows.columns
+    last_first = W.partitionBy("time_from", "id").orderBy(*[F.desc(c) for c in ("_rank", *columns)])
+    return (rows.withColumn("_rank", region_rank(F.col("city_bfs_id"), regions))
+            .withColumn("_other", F.lag(F.lit(True)).over(last_first))
+            .where(F.col("_other").isNull()).select(*columns))
 
 
 def build_paths(points: DataFrame, nodes: DataFrame, edges: DataFrame, interval: Interval,

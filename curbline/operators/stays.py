@@ -22,9 +22,15 @@ from curbline.functions.timing import ts
 from curbline.regions import MOVE_THRESHOLD_M
 
 VEHICLE = ("city_bfs_id", "id")
-# One hour: 30 collection ticks, and at most 3,600 distinct refresh times, which are epoch
-# seconds.
-SLICE_SECONDS = 3600
+# The same keys in the order rows are sorted by. A sort compares the first eight bytes of its first column before it looks
+# at a row, so a column of many values comes first, never the region.
+SORTED_VEHICLE = ("id", "city_bfs_id")
+SORTED_SLICE = ("slice", *SORTED_VEHICLE)
+# One day: 720 collection ticks, and at most 86,400 distinct refresh times, which are epoch
+# seconds. Vehicles that are seen less than once an hour would have as many shorter slices as rows.
+SLICE_SECONDS = 86400
+# Stay numbers a window holds when a stay meets the one before it.
+STAY_BLOCK = 64
 
 
 def time_slice(column: Column, seconds: int = SLICE_SECONDS) -> Column:
@@ -38,7 +44,7 @@ def distinct_observations(points: DataFrame) -> DataFrame:
     collection run, then the smallest coordinates."""
     rank = F.col("source_rank") if "source_rank" in points.columns else F.lit(1)
     best = F.min(F.struct(rank.alias("source_rank"), "runtime", "lon", "lat", "provider")).alias("best")
-    return points.groupBy(*VEHICLE, "time").agg(best).select(
+    return points.groupBy("time", *SORTED_VEHICLE).agg(best).select(
         *VEHICLE, "time", "best.provider", "best.source_rank", "best.runtime", "best.lon", "best.lat")
 
 
@@ -71,7 +77,7 @@ def steps(points: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
 
 def _walk(points: DataFrame, threshold_m: float, slice_seconds: int) -> DataFrame:
     """Observations with the step from the one before and the moves so far, within one slice."""
-    keys = [*VEHICLE, "slice"]
+    keys = list(SORTED_SLICE)
     # Provider is unique per time; ordering by it as well keeps both readers of this
     # frame on one shuffle.
     in_slice = W.partitionBy(*keys).orderBy("time", "provider")
@@ -87,11 +93,11 @@ def _walk(points: DataFrame, threshold_m: float, slice_seconds: int) -> DataFram
 
 def _carry(walked: DataFrame, threshold_m: float) -> DataFrame:
     """Per slice: step into it, the number of its first stay, the vehicle's last time."""
-    keys = [*VEHICLE, "slice"]
+    keys = list(SORTED_SLICE)
     at = F.struct("time", "x", "y")
     slices = walked.groupBy(*keys).agg(
         F.min(at).alias("head"), F.max(at).alias("tail"), F.max("run").alias("moves"))
-    in_order = W.partitionBy(*VEHICLE).orderBy("slice")
+    in_order = W.partitionBy(*SORTED_VEHICLE).orderBy("slice")
     earlier = in_order.rowsBetween(W.unboundedPreceding, -1)
     entered = (slices.withColumn("before", F.lag("tail").over(in_order))
                .withColumn("head_step", planar_distance(
@@ -102,7 +108,7 @@ def _carry(walked: DataFrame, threshold_m: float) -> DataFrame:
         *keys, F.col("head.time").alias("head_time"), "head_step", "head_moved",
         (F.coalesce(F.sum(F.col("entry") + F.col("moves")).over(earlier), F.lit(0))
          + F.col("entry")).alias("base"),
-        F.max("tail.time").over(W.partitionBy(*VEHICLE)).alias("vehicle_last"))
+        F.max("tail.time").over(W.partitionBy(*SORTED_VEHICLE)).alias("vehicle_last"))
 
 
 def segment(points: DataFrame, threshold_m: float = MOVE_THRESHOLD_M,
@@ -121,13 +127,13 @@ def segment(points: DataFrame, threshold_m: float = MOVE_THRESHOLD_M,
     if active_after is not None:
         carry = carry.where(F.col("vehicle_last") > ts(active_after))
     at_head = F.col("time") == F.col("head_time")
-    numbered = walked.join(carry, [*VEHICLE, "slice"]).select(
+    numbered = walked.join(carry, list(SORTED_SLICE)).select(
         *VEHICLE, (F.col("base") + F.col("run")).alias("stay"), "x", "y", "time",
         F.when(at_head, F.col("head_step")).otherwise(F.col("step")).alias("step"),
         F.when(at_head, F.col("head_moved")).otherwise(F.col("moved")).alias("moved"), "provider")
-    positions = numbered.groupBy(*VEHICLE, "stay", "x", "y").agg(
+    positions = numbered.groupBy("x", "id", "stay", "y", "city_bfs_id").agg(
         F.min(F.struct("time", "step", "moved", "provider")).alias("first"), F.max("time").alias("last_time"))
-    stays = positions.groupBy(*VEHICLE, "stay").agg(
+    stays = positions.groupBy("id", "stay", "city_bfs_id").agg(
         F.min("first").alias("first"), F.max("last_time").alias("time_to"),
         F.avg("x").alias("x"), F.avg("y").alias("y"))
     lon, lat = wgs84(F.col("x"), F.col("y"))
@@ -139,24 +145,19 @@ def segment(points: DataFrame, threshold_m: float = MOVE_THRESHOLD_M,
         "x", "y", lon.alias("lon"), lat.alias("lat"))
 
 
-def with_previous(stays: DataFrame, values: list[str], key: tuple[str, ...] = VEHICLE,
+def with_previous(stays: DataFrame, values: list[str], key: tuple[str, ...] = SORTED_VEHICLE,
                   number: str = "stay") -> DataFrame:
     """Add ``previous``: a struct of ``values`` of the row numbered one lower.
 
-    Stay numbers are consecutive, so the shift is a grouping by (vehicle, number): each
-    row is sent to its own number and to the next one. No window per vehicle is needed.
+    Stay numbers are consecutive, so rows are dealt by (vehicle, block of numbers) and the last
+    one of a block is sent to the next block as well. No window per vehicle is needed, and of rows
+    that share a number one stays.
     """
-    row = F.struct(*[F.col(c) for c in stays.columns])
-    shifted = F.struct(*values)
-    absent = F.lit(None)
-    row_type = stays.select(row.alias("r")).schema["r"].dataType
-    shift_type = stays.select(shifted.alias("r")).schema["r"].dataType
-    sent = F.inline(F.array(
-        F.struct(F.col(number).alias("_n"), row.alias("_row"), absent.cast(shift_type).alias("_prev")),
-        F.struct((F.col(number) + 1).alias("_n"), absent.cast(row_type).alias("_row"), shifted.alias("_prev"))))
-    return (stays.select(*[F.col(k).alias(f"_{k}") for k in key], sent)
-            .groupBy(*[f"_{k}" for k in key], "_n")
-            .agg(F.first("_row", ignorenulls=True).alias("_row"),
-                 F.first("_prev", ignorenulls=True).alias("previous"))
-            .where(F.col("_row").isNotNull())
-            .select("_row.*", "previous"))
+    block = F.floor(F.col(number) / STAY_BLOCK)
+    ends = F.pmod(F.col(number), F.lit(STAY_BLOCK)) == STAY_BLOCK - 1
+    sent = stays.withColumn("_block", F.explode(F.when(ends, F.array(block, block + 1)).otherwise(F.array(block))))
+    in_block = W.partitionBy(*key, "_block").orderBy(number)
+    return (sent.withColumns({"_n": F.lag(number).over(in_block), "previous": F.lag(F.struct(*values)).over(in_block)})
+            .where(F.col("_block").eqNullSafe(block) & ~F.col(number).eqNullSafe(F.col("_n")))
+            .withColumn("previous", F.when(F.col("_n") == F.col(number) - 1, F.col("previous")))
+            .drop("_block", "_n"))

@@ -82,20 +82,31 @@ class Warehouse:
         return self.snapshots(table).put(df.hint("rebalance"), None, level, parts)
 
     def upsert(self, table: Table, updates: DataFrame) -> None:
-        """Merge ``updates`` into the table: stored rows they replace go."""
+        """Merge ``updates`` into the table: stored rows they replace go.
+
+        Updates are written once, to the folder they stay in; of the stored rows of the partitions they
+        touch, those that stay are written beside them.
+        """
         if table.in_parts:
             raise ValueError(f"{table.name} adds up: use contribute")
         self.create(table)
         name, _ = table.partition
-        rows = stage(self._with_partition(table, updates), f"updates-{table.name}")
-        merge.assert_unique(rows, table.key)
+        added = self._put(table, self._with_partition(table, updates))
+        rows = self._rows(table, added)
+        try:
+            merge.assert_unique(rows, table.key)
+        except ValueError:
+            self.snapshots(table).discard(added)
+            raise
         # One value per touched day, region or bucket.
         touched = [r[0] for r in rows.select(name).distinct().collect()]
 
         def change(entries: list[Entry]) -> list[Entry]:
-            current = self._rows(table, entries).where(F.col(name).isin(touched))
-            merged = merge.replace(current, rows, table.replaces or table.key)
-            return _rest(entries, name, touched) + self._put(table, merged)
+            rest = _rest(entries, name, touched)
+            if rest != entries:
+                current = self._rows(table, entries).where(F.col(name).isin(touched))
+                rest = rest + self._put(table, merge.unreplaced(current, rows, table.replaces or table.key))
+            return rest + added
 
         if touched:
             self.snapshots(table).commit(change)
