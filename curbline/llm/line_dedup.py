@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import BLANKS, numbered_rows, restored, row_order, schema_with
+from curbline.llm.common import BLANKS, numbered_rows, restored, row_order, schema_with, slices
 from curbline.llm.exact_dedup import filter_cells, flag_repeats, repeated_cells
 from curbline.session import stage
 
@@ -19,6 +19,8 @@ WINDOW = 2
 MIN_LINES = 2
 # One line so many times in a row is a passage of its own, in blocks of MIN_LINES.
 RUN = 3
+# Texts that a Python worker holds as objects, with their chunks, at once.
+TEXTS = 500
 _BASE = 0x9E3779B97F4A7C15
 _WORD = (1 << 64) - 1
 
@@ -69,7 +71,7 @@ def run_spans(lines: list[str], run: int = RUN) -> list[tuple[int, int]]:
 
 def _chunks(with_body: bool, window: int, min_lines: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, TEXTS):
             row, at, count, keys, bodies = [], [], [], [], []
             for number, text in enumerate(batch.column("text").to_pylist()):
                 lines = text.split("\n")
@@ -96,7 +98,7 @@ def _chunks(with_body: bool, window: int, min_lines: int):
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Takes the spans in ``drops`` out of the texts."""
-    for batch in batches:
+    for batch in slices(batches, TEXTS):
         texts, total, removed = [], [], []
         for text, drops in zip(batch.column("text").to_pylist(), batch.column("drops").to_pylist()):
             lines = text.split("\n")
