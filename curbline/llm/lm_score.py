@@ -14,6 +14,7 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ RATE = 0.7
 # Added to a row's sum of squared gradients; a rarely seen row moves by little.
 DAMPING = 5.0
 TOKENS = 1 << 14  # in a gradient step
+SCORED_TOKENS = 1 << 12  # scored in one go
+FEW = 8  # rows of a weight row's errors that are added one at a time
 BLOCK_ROWS = 256
 END = b""
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -129,39 +132,74 @@ def _rows(hashed: np.ndarray, count: int) -> np.ndarray:
     return (hashed >> np.uint64(64 - (count - 1).bit_length())).astype(np.int64)
 
 
-def _shares_of(logits: np.ndarray) -> np.ndarray:
-    """Softmax by row, in place. Sums of trained rows stay far below what a float can take."""
+def _powers_of(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numerators of the softmax by row, in place, and their sums. Sums of trained rows stay far below what a float can take."""
     np.exp(np.minimum(logits, np.float32(80), out=logits), out=logits)
-    logits /= (logits @ np.ones(logits.shape[1], np.float32))[:, None]
-    return logits
+    return logits, logits @ np.ones(logits.shape[1], np.float32)
+
+
+def _shares_of(logits: np.ndarray) -> np.ndarray:
+    """Softmax by row, in place."""
+    powers, total = _powers_of(logits)
+    powers /= total[:, None]
+    return powers
+
+
+def _share_at(logits: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """One column of the softmax for each row."""
+    powers, total = _powers_of(logits)
+    return powers[np.arange(len(columns)), columns] / total
+
+
+def summed(error: np.ndarray, order: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of the error rows ``order[start:start + size]`` for each start."""
+    sums = error.take(order.take(starts), axis=0)
+    # Most rows of rare features come once; only the others have to be added up.
+    several = np.flatnonzero((sizes > 1) & (sizes <= FEW))
+    if len(several):
+        # The largest first, so that those with one more to add are always the first ones.
+        several = several.take(np.argsort(FEW - sizes.take(several).astype(np.uint8), kind="stable"))
+        first, left = starts.take(several), np.bincount(sizes.take(several), minlength=FEW + 1)[::-1].cumsum()[::-1]
+        added = sums.take(several, axis=0)
+        for size in range(2, FEW + 1):
+            count = left[size]
+            if not count:
+                break
+            added[:count] += error.take(order.take(first[:count] + (size - 1)), axis=0)
+        _set_rows(sums, several, added)
+    many = np.flatnonzero(sizes > FEW)
+    if len(many):
+        length = sizes.take(many)
+        ends = np.cumsum(length)
+        held = error.take(order.take(np.arange(ends[-1]) + np.repeat(starts.take(many) - ends + length, length)), axis=0)
+        ones = np.ones(length.max(), np.float32)
+        for k, size, end in zip(many.tolist(), length.tolist(), ends.tolist()):
+            sums[k] = ones[:size] @ held[end - size:end]
+    return sums
+
+
+def _set_rows(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    # A row is set as one value, which numpy copies faster than a row of numbers.
+    whole = np.dtype((np.void, table.strides[0]))
+    table.view(whole)[at, 0] = rows.view(whole)[:, 0]
 
 
 def _step(table: np.ndarray, squares: np.ndarray, touched: np.ndarray, rows: np.ndarray, error: np.ndarray, rate: float) -> None:
     """One gradient step: adds up the error by weight row and moves each row by its own scale."""
-    order = np.argsort(rows.astype(np.uint16) if len(table) <= 1 << 16 else rows, kind="stable")
-    ordered, ones = rows.take(order), np.ones(len(rows), np.float32)
+    keys = rows.astype(np.uint16) if len(table) <= 1 << 16 else rows
+    order = np.argsort(keys, kind="stable")
+    ordered = keys.take(order)
     starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
     sizes = np.diff(np.append(starts, len(rows)))
-    sums = error.take(order.take(starts), axis=0)
-    # Most rows of rare features come once; only the others have to be added up.
-    open_ = np.flatnonzero(sizes > 1)
-    for size in range(2, 9):
-        if not len(open_):
-            break
-        sums[open_] += error.take(order.take(starts.take(open_) + (size - 1)), axis=0)
-        open_ = open_[sizes.take(open_) > size]
-    for k in open_.tolist():
-        sums[k] = ones[:sizes[k]] @ error.take(order[starts[k]:starts[k] + sizes[k]], axis=0)
-    at = ordered.take(starts)
+    sums = summed(error, order, starts, sizes)
+    at = ordered.take(starts).astype(np.int64)
     scale = squares.take(at) + np.einsum("ij,ij->i", sums, sums)
     squares[at] = scale
     touched[at] += sizes
     sums *= (np.float32(rate) / np.sqrt(scale + np.float32(DAMPING)))[:, None]
     moved = table.take(at, axis=0)
     moved -= sums
-    # A row is set as one value, which numpy copies faster than a row of numbers.
-    whole = np.dtype((np.void, table.strides[0]))
-    table.view(whole)[at, 0] = moved.view(whole)[:, 0]
+    _set_rows(table, at, moved)
 
 
 class Scorer:
@@ -181,15 +219,12 @@ class Scorer:
 
     def symbols(self, tokens: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
         """The tokens as numbers, other words by their subclass, and the other words themselves."""
-        found = list(map(self.words.ids.get, tokens))
-        others = []
-        if None in found:
-            bounds, first = self.words.bounds, self.words.size
-            for at, symbol in enumerate(found):
-                if symbol is None:
-                    others.append(tokens[at])
-                    found[at] = first + bisect_right(bounds, tokens[at])
-        return np.array(found, np.int64), others
+        found = np.fromiter(map(self.words.ids.get, tokens, repeat(-1)), np.int64, len(tokens))
+        places = np.flatnonzero(found < 0)
+        others = list(map(tokens.__getitem__, places.tolist()))
+        if others:
+            found[places] = self.words.size + np.fromiter(map(bisect_right, repeat(self.words.bounds), others), np.int64, len(others))
+        return found, others
 
     def padded(self, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """All texts after one another, three start symbols before each, and where the tokens are."""
@@ -214,10 +249,10 @@ class Scorer:
         out = np.zeros(len(parts))
         joined, places = self.padded(parts)
         sums = np.empty(len(places))
-        for begin in range(0, len(places), TOKENS):
-            at = places[begin:begin + TOKENS]
+        for begin in range(0, len(places), SCORED_TOKENS):
+            at = places[begin:begin + SCORED_TOKENS]
             low, high = max(0, at[0] - 3), at[-1] + 1
-            sums[begin:begin + TOKENS] = self._log10(joined[low:high], at - low)
+            sums[begin:begin + SCORED_TOKENS] = self._log10(joined[low:high], at - low)
         lengths = np.array([len(p) for p in parts])
         ends = np.cumsum(lengths)
         running = np.concatenate([[0.0], np.cumsum(sums)])
@@ -228,9 +263,8 @@ class Scorer:
         symbols = joined[at]
         classes, subclasses = self.leaf_class[symbols], self.leaf_subclass[symbols]
         upper, lower = self._hashes(joined, at, classes)
-        line = np.arange(len(at))
-        of_class = _shares_of(self._logits(upper, self.weights.classes, self.words.class_bias))[line, classes]
-        of_subclass = _shares_of(self._logits(lower, self.weights.subclasses, self.words.subclass_bias.take(classes, axis=0)))[line, subclasses]
+        of_class = _share_at(self._logits(upper, self.weights.classes, self.words.class_bias), classes)
+        of_subclass = _share_at(self._logits(lower, self.weights.subclasses, self.words.subclass_bias.take(classes, axis=0)), subclasses)
         return np.log10(of_class.astype(float)) + np.log10(of_subclass.astype(float)) + self.inside[symbols]
 
     def train(self, parts: list[np.ndarray], rate: float) -> None:
@@ -384,23 +418,20 @@ def _scored(words, weights):
                 split = [words_of(text) for text in batch.column("text").to_pylist()]
                 found = [scorer.symbols(tokens) for tokens in split]
                 scores = scorer.log10([symbols for symbols, _ in found])
-                row, word, times = [], [], []
-                for rid, (_, others) in zip(rids, found):
-                    for other, count in Counter(others).items():
-                        row.append(rid)
-                        word.append(other)
-                        times.append(count)
+                counted = [Counter(others) for _, others in found]
+                row = np.repeat(np.array(rids, np.int64), [len(c) for c in counted])
                 # No word holds a blank, so these keys match no count and are dealt evenly.
-                own = [b" %d" % rid for rid in rids]
-                total = len(rids)
-                empty = len(row)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rids + row, pa.int64()), pa.array(own + word, pa.binary()), pa.array([0] * total + times, pa.int64()),
-                     pa.array([len(t) for t in split] + [0] * empty, pa.int64()),
-                     pa.array([len(t) - len(o) for t, (_, o) in zip(split, found)] + [0] * empty, pa.int64()),
-                     pa.array([float(seen[s].sum()) for s, _ in found] + [0.0] * empty, pa.float64()),
-                     pa.array(scores.tolist() + [0.0] * empty, pa.float64())],
-                    ["rid", "word", "times", "n_tokens", "n_hot", "base", "score"])
+                word = [b" %d" % rid for rid in rids]
+                word.extend(chain.from_iterable(counted))
+                times = np.fromiter(chain.from_iterable(c.values() for c in counted), np.int64, len(row))
+                none, nothing = np.zeros(len(row), np.int64), np.zeros(len(row))
+                columns = [np.concatenate([rids, row]), pa.array(word, pa.binary()),
+                           np.concatenate([np.zeros(len(rids), np.int64), times]),
+                           np.concatenate([[len(t) for t in split], none]),
+                           np.concatenate([[len(t) - len(o) for t, (_, o) in zip(split, found)], none]),
+                           np.concatenate([[seen[s].sum() for s, _ in found], nothing]), np.concatenate([scores, nothing])]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns],
+                                                 ["rid", "word", "times", "n_tokens", "n_hot", "base", "score"])
     return run
 
 
