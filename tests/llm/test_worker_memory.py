@@ -5,7 +5,8 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from curbline.llm import line_dedup, suffix_dedup
+from curbline import session
+from curbline.llm import common, line_dedup, suffix_dedup
 
 
 def test_texts_are_taken_in_slices():
@@ -33,3 +34,20 @@ def test_windows_are_sorted_in_little_memory():
     assert all([seen[c[n:n + 400]] > 1 for n in range(len(c) - 399)] == own.tolist() for c, own in zip(contexts, flags))
     # An index for every byte beside every window took 32 MB here, and grew with the buckets sorted together.
     assert most < 20 << 20
+
+
+def test_texts_go_to_workers_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    docs = spark.range(4000, numPartitions=1).selectExpr("id as doc_id", "concat('text ', id) as text")
+    was = spark.conf.get(session.ARROW_ROWS_KEY)
+    try:
+        for rows in (common.numbered_rows, common.text_rows):
+            for before, most in (("10000", session.ARROW_ROWS), ("0", session.ARROW_ROWS), ("300", 300)):
+                spark.conf.set(session.ARROW_ROWS_KEY, before)
+                found = [r["n"] for r in rows(docs).mapInArrow(sizes, "n long").collect()]
+                assert sum(found) == 4000 and max(found) <= most
+    finally:
+        spark.conf.set(session.ARROW_ROWS_KEY, was)
