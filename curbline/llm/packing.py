@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import os
 import re
+import string
 from collections.abc import Iterator
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import schema_with, text_rows, worker_cache
+from curbline.llm.common import schema_with, slices, text_rows, worker_cache
 from curbline.session import stage
 
 CAPACITY = 2048
@@ -26,6 +30,9 @@ GROUP = 50_000
 LEAST_GAIN = 0.002
 # Words whose ids a worker remembers.
 WORDS_KEPT = 800_000
+# Words encoded in one go.
+ENCODED_WORDS = 1000
+MARKS = string.punctuation
 
 
 class WordEncoder:
@@ -44,75 +51,100 @@ class WordEncoder:
         self.cut = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or "(?!)")
         # Words are in lower case by then: one like <|ENDOFTEXT|> must not become special.
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        found = [self.cut.findall(text) for text in texts]
-        if not any(found):
-            return self._plain(texts)
-        parts = [self.cut.split(text) if own else [text] for text, own in zip(texts, found)]
-        coded = iter(self._plain([part for own in parts for part in own]))
-        return [b"".join([next(coded), *(ids for token in own for ids in (self.special[token], next(coded)))]) for own in found]
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts without special tokens. The vocabulary is in lower case, so words are too."""
-        split = [text.encode().lower().split() for text in texts]
-        get = self.known.get
-        found = [list(map(get, words)) for words in split]
-        missing = {word for words, ids in zip(split, found) if None in ids for word, known in zip(words, ids) if known is None}
+        ids, ends = self.encoded(pa.array(texts, pa.string()))
+        data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+        return [data[begin:end] for begin, end in zip(cuts, cuts[1:])]
+
+    def encoded(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one array, each text followed by ``end``, and where each text's ids end.
+
+        A text is cut at its special tokens; every part is followed by the ids of the token that ended it.
+        """
+        parts, closers, last = texts, [end] * len(texts), np.arange(len(texts))
+        if any(pc.any(pc.match_substring(texts, content)).as_py() for content in self.special):
+            split = [self.cut.split(text) for text in texts.to_pylist()]
+            tokens = [self.cut.findall(text) for text in texts.to_pylist()]
+            parts = pa.array([part for own in split for part in own], pa.string())
+            closers = [ids for own in tokens for ids in (*(self.special[token] for token in own), end)]
+            last = np.cumsum([len(own) for own in split]) - 1
+        # The vocabulary is in lower case, so words are too. Each different word is looked up once.
+        words = pc.ascii_split_whitespace(pc.ascii_lower(parts))
+        coded = words.flatten().dictionary_encode()
+        values, ends = self._words(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), words.offsets.to_numpy()[1:]
+        closing = {ids: len(values) + k for k, ids in enumerate(dict.fromkeys(closers))}
+        order = np.insert(coded.indices.to_numpy(), ends, [closing[ids] for ids in closers])
+        taken = pa.array([*values, *closing], pa.large_binary()).take(pa.array(order))
+        if not len(taken):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        _, offsets, data = taken.buffers()
+        cuts = np.frombuffer(offsets, np.int64, len(taken) + 1) // 4
+        return np.frombuffer(data, "<u4", cuts[-1]), cuts[ends[last] + last + 1]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of different words; the empty one has none."""
+        found = list(map(self.known.get, words))
+        missing = [at for at, ids in enumerate(found) if ids is None]
         if missing:
-            made = self._made(missing)
-            found = [[made[word] if known is None else known for word, known in zip(words, ids)] if None in ids else ids
-                     for words, ids in zip(split, found)]
-        return list(map(b"".join, found))
-
-    def _made(self, missing: set[bytes]) -> dict[bytes, bytes]:
-        # A full stop or comma after a letter or digit is matched by itself.
-        ends = {word: word[:-1] for word in missing if word[-1:] in b".," and word[-2:-1].isalnum()}
-        whole = list({ends.get(word, word) for word in missing} | {word[-1:] for word in ends})
-        made: dict[bytes, bytes] = {}
-        new = []
-        for word in whole:
-            ids = self.known.get(word)
-            if ids is None:
-                new.append(word)
-            else:
-                made[word] = ids
-        for start in range(0, len(new), 10_000):
-            part = new[start:start + 10_000]
-            encoded = self.tokenizer.encode([w.decode() for w in part], is_pretokenized=True, add_special_tokens=False)
-            ids, owner = np.array(encoded.ids, "<u4"), np.array(encoded.word_ids, np.int64)
-            cuts = np.searchsorted(owner, np.arange(len(part) + 1)).tolist()
-            data = ids.tobytes()
-            for k, word in enumerate(part):
-                made[word] = data[4 * cuts[k]:4 * cuts[k + 1]]
-        for word, core in ends.items():
-            made[word] = made[core] + made[word[-1:]]
+            for at, ids in zip(missing, self._made([words[at] for at in missing])):
+                found[at] = ids
+        return found
+
+    def _made(self, words: list[str]) -> list[bytes]:
+        # Marks after a letter or digit are matched by themselves, all of them together.
+        cores = [word.rstrip(MARKS) for word in words]
+        marked = [at for at, core in enumerate(cores) if len(core) < len(words[at]) and core[-1:].isascii() and core[-1:].isalnum()]
+        marks = [words[at][len(cores[at]):] for at in marked]
+        whole = words.copy()
+        for at in marked:
+            whole[at] = cores[at]
+        made = dict.fromkeys([*whole, *marks])
+        made.update((word, self.known.get(word)) for word in made)
+        new = [word for word, ids in made.items() if ids is None]
+        letters = list(map(str.isalpha, new))
+        for group, as_text in ((list(compress(new, letters)), True), (list(compress(new, map(not_, letters))), False)):
+            for start in range(0, len(group), ENCODED_WORDS):
+                part = group[start:start + ENCODED_WORDS]
+                made.update(zip(part, self._encoded(part, as_text)))
+        found = list(map(made.__getitem__, whole))
+        for at, mark in zip(marked, marks):
+            found[at] += made[mark]
         if len(self.known) < WORDS_KEPT:
             self.known.update(made)
-        return made
+            self.known.update(zip(words, found))
+        return found
+
+    def _encoded(self, words: list[str], as_text: bool) -> list[bytes]:
+        """Ids of each word. ``as_text`` is quicker: words of letters are one match each, so a text of them tells them apart."""
+        encoded = self.tokenizer.encode(" ".join(words) if as_text else words, is_pretokenized=not as_text, add_special_tokens=False)
+        owner = np.array(encoded.word_ids, np.int64)
+        if as_text and owner[-1] + 1 != len(words):
+            return self._encoded(words, False)
+        data, cuts = np.array(encoded.ids, "<u4").tobytes(), (4 * np.searchsorted(owner, np.arange(len(words) + 1))).tolist()
+        return [data[begin:end] for begin, end in zip(cuts, cuts[1:])]
 
 
 def _pieces(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = worker_cache(("packing", path), lambda: WordEncoder(path)), np.array([end_id], "<u4").tobytes()
-        for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
-                row, number, first, ids = [], [], [], []
-                for at, found in enumerate(encoder.encode(batch.column("text").to_pylist())):
-                    found += end
-                    for piece, begin in enumerate(range(0, len(found), 4 * capacity)):
-                        row.append(at)
-                        number.append(piece)
-                        first.append(begin // 4)
-                        ids.append(found[begin:begin + 4 * capacity])
-                kept = batch.select([c for c in batch.schema.names if c != "text"]).take(pa.array(row, pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [*kept.columns, pa.array(number, pa.int32()), pa.array(first, pa.int64()),
-                     pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
-                    [*kept.schema.names, "piece", "start", "length", "ids"])
+        for batch in slices(batches, 1000):
+            ids, ends = encoder.encoded(batch.column("text"), end)
+            sizes = np.diff(ends, prepend=0)
+            count = -(-sizes // capacity)
+            row = np.repeat(np.arange(len(sizes)), count)
+            number = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+            first = number * capacity
+            length = np.minimum(capacity, sizes[row] - first)
+            # Pieces lie one after another in the ids.
+            cuts = np.append(0, 4 * np.cumsum(length)).astype(np.int32)
+            data = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(cuts), pa.py_buffer(ids)])
+            kept = batch.select([c for c in batch.schema.names if c != "text"]).take(pa.array(row))
+            yield pa.RecordBatch.from_arrays(
+                [*kept.columns, pa.array(number.astype(np.int32)), pa.array(first), pa.array(length), data],
+                [*kept.schema.names, "piece", "start", "length", "ids"])
     return run
 
 
