@@ -11,17 +11,16 @@ share of counts. Words beyond the most frequent ones form a class of their own,
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import numbered_rows, schema_with, worker_cache
+from curbline.llm.common import numbered_rows, slices
 from curbline.session import stage
 
 # The most frequent words, which every task knows; all others are looked up by a join.
@@ -37,8 +36,10 @@ RATE = 0.7
 DAMPING = 5.0
 TOKENS = 1 << 14  # in a gradient step
 SCORED_TOKENS = 1 << 12  # scored in one go
+SCORED_TEXTS = 200  # whose scores are added up together
 FEW = 8  # rows of a weight row's errors that are added one at a time
 BLOCK_ROWS = 256
+COUNTED_BYTES = 16 << 20  # of words that a task counts in one go
 END = b""
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -48,6 +49,18 @@ def words_of(text: str) -> list[bytes]:
     return [*text.encode().lower().split(), END]
 
 
+def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The tokens of all texts, as numbers into the different words; where each text's tokens begin and the last one's end; the words."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    coded = split.flatten().dictionary_encode()
+    numbers, ends = coded.indices.to_numpy(), split.offsets.to_numpy()
+    # Blanks around a text leave empty words, which are no tokens; the end is one.
+    real = numbers != coded.dictionary.index("").as_py()
+    ends = np.append(0, np.cumsum(real))[ends]
+    kinds = pa.concat_arrays([coded.dictionary.cast(pa.binary()), pa.array([END], pa.binary())])
+    return np.insert(numbers[real], ends[1:], len(kinds) - 1), ends + np.arange(len(ends)), kinds
+
+
 @dataclass
 class Vocabulary:
     """The frequent words with their places in the classes, and how other words are divided."""
@@ -207,6 +220,7 @@ class Scorer:
 
     def __init__(self, words: Vocabulary, weights: Weights):
         self.words, self.weights = words, weights
+        self.hot = pa.array(words.ids, pa.binary())
         self.start = words.size + SUBCLASSES
         self.leaf_class = np.concatenate([words.classes, np.full(SUBCLASSES, CLASSES - 1)])
         self.leaf_subclass = np.concatenate([words.subclasses, np.arange(SUBCLASSES)])
@@ -219,12 +233,16 @@ class Scorer:
 
     def symbols(self, tokens: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
         """The tokens as numbers, other words by their subclass, and the other words themselves."""
-        found = np.fromiter(map(self.words.ids.get, tokens, repeat(-1)), np.int64, len(tokens))
-        places = np.flatnonzero(found < 0)
-        others = list(map(tokens.__getitem__, places.tolist()))
-        if others:
-            found[places] = self.words.size + np.fromiter(map(bisect_right, repeat(self.words.bounds), others), np.int64, len(others))
-        return found, others
+        found, other = self.kinds(pa.array(tokens, pa.binary()))
+        return found, [token for token, is_other in zip(tokens, other.tolist()) if is_other]
+
+    def kinds(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of words, other words by their subclass, and which ones are other words."""
+        found = pc.fill_null(pc.index_in(words, self.hot), -1).to_numpy().astype(np.int64)
+        other = found < 0
+        bounds = self.words.bounds
+        found[other] = self.words.size + np.array([bisect_right(bounds, word) for word in words.filter(pa.array(other)).to_numpy(zero_copy_only=False)], np.int64)
+        return found, other
 
     def padded(self, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """All texts after one another, three start symbols before each, and where the tokens are."""
@@ -288,12 +306,22 @@ class Scorer:
 
 
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for start in range(0, whole.num_rows, 2000):
-            counts: Counter = Counter()
-            for text in whole.column("text").slice(start, 2000).to_pylist():
-                counts.update(words_of(text))
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+    held, texts = [], 0
+
+    def counted() -> pa.RecordBatch:
+        found = pc.value_counts(pa.chunked_array(held, pa.string()))
+        found = found.filter(pc.not_equal(found.field("values"), ""))
+        return pa.RecordBatch.from_arrays([pa.concat_arrays([found.field("values").cast(pa.binary()), pa.array([END], pa.binary())]),
+                                           pa.concat_arrays([found.field("counts"), pa.array([texts], pa.int64())])], ["word", "n"])
+
+    for batch in batches:
+        held.append(pc.ascii_split_whitespace(pc.ascii_lower(batch.column("text"))).flatten())
+        texts += batch.num_rows
+        if sum(words.nbytes for words in held) >= COUNTED_BYTES:
+            yield counted()
+            held, texts = [], 0
+    if texts:
+        yield counted()
 
 
 def count_tokens(rows: DataFrame) -> DataFrame:
@@ -341,8 +369,8 @@ def _trained(words, weights, rate: float):
         scorer = Scorer(words.value, Weights(before.classes.copy(), before.subclasses.copy()))
         waiting, size = [], 0
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                part = scorer.symbols(words_of(text))[0]
+            numbers, ends, kinds = tokens_of(batch.column("text"))
+            for part in np.split(scorer.kinds(kinds)[0][numbers], ends[1:-1]):
                 waiting.append(part)
                 size += len(part)
                 if size >= 4 * TOKENS:
@@ -411,27 +439,24 @@ def _scored(words, weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(words.value, weights.value)
         seen = np.concatenate([np.log10(words.value.counts + 1.0), np.zeros(SUBCLASSES)])
-        for whole in batches:
-            for start in range(0, whole.num_rows, 200):
-                batch = whole.slice(start, 200)
-                rids = batch.column("rid").to_pylist()
-                split = [words_of(text) for text in batch.column("text").to_pylist()]
-                found = [scorer.symbols(tokens) for tokens in split]
-                scores = scorer.log10([symbols for symbols, _ in found])
-                counted = [Counter(others) for _, others in found]
-                row = np.repeat(np.array(rids, np.int64), [len(c) for c in counted])
-                # No word holds a blank, so these keys match no count and are dealt evenly.
-                word = [b" %d" % rid for rid in rids]
-                word.extend(chain.from_iterable(counted))
-                times = np.fromiter(chain.from_iterable(c.values() for c in counted), np.int64, len(row))
-                none, nothing = np.zeros(len(row), np.int64), np.zeros(len(row))
-                columns = [np.concatenate([rids, row]), pa.array(word, pa.binary()),
-                           np.concatenate([np.zeros(len(rids), np.int64), times]),
-                           np.concatenate([[len(t) for t in split], none]),
-                           np.concatenate([[len(t) - len(o) for t, (_, o) in zip(split, found)], none]),
-                           np.concatenate([[seen[s].sum() for s, _ in found], nothing]), np.concatenate([scores, nothing])]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns],
-                                                 ["rid", "word", "times", "n_tokens", "n_hot", "base", "score"])
+        for batch in slices(batches, 1000):
+            rids, size = batch.column("rid").to_numpy(), batch.num_rows
+            numbers, ends, kinds = tokens_of(batch.column("text"))
+            found, other = scorer.kinds(kinds)
+            parts = np.split(found[numbers], ends[1:-1])
+            scores = np.concatenate([scorer.log10(parts[start:start + SCORED_TEXTS]) for start in range(0, size, SCORED_TEXTS)])
+            # Each text's other words, with their times.
+            at = np.flatnonzero(other[numbers])
+            text = np.searchsorted(ends, at, side="right") - 1
+            pair, times = np.unique(text * len(kinds) + numbers[at], return_counts=True)
+            # No word holds a blank, so these keys match no count and are dealt evenly.
+            word = pa.concat_arrays([pa.array([b" %d" % rid for rid in rids.tolist()], pa.binary()), kinds.take(pa.array(pair % len(kinds)))])
+            none, nothing, n_tokens = np.zeros(len(pair), np.int64), np.zeros(len(pair)), np.diff(ends)
+            columns = [np.concatenate([rids, rids[pair // len(kinds)]]), word, np.concatenate([np.zeros(size, np.int64), times]),
+                       np.concatenate([n_tokens, none]), np.concatenate([n_tokens - np.bincount(text, minlength=size), none]),
+                       np.concatenate([[seen[part].sum() for part in parts], nothing]), np.concatenate([scores, nothing])]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns],
+                                             ["rid", "word", "times", "n_tokens", "n_hot", "base", "score"])
     return run
 
 
