@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import BLANKS, numbered_rows, restored, row_order, schema_with, slices
+from curbline.llm.common import BLANKS, lean, numbered_rows, restored, row_order, schema_with, slices
 from curbline.llm.exact_dedup import filter_cells, flag_repeats, repeated_cells
 from curbline.session import stage
 
@@ -70,6 +70,7 @@ def run_spans(lines: list[str], run: int = RUN) -> list[tuple[int, int]]:
 
 
 def _chunks(with_body: bool, window: int, min_lines: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, TEXTS):
             row, at, count, keys, bodies = [], [], [], [], []
@@ -96,6 +97,7 @@ def _chunks(with_body: bool, window: int, min_lines: int):
     return run
 
 
+@lean
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Takes the spans in ``drops`` out of the texts."""
     for batch in slices(batches, TEXTS):

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import schema_with, slices, text_rows, worker_cache
+from curbline.llm.common import lean, schema_with, slices, text_rows, worker_cache
 from curbline.session import stage
 
 CAPACITY = 2048
@@ -28,8 +28,8 @@ SLACK = 8
 GROUP = 50_000
 # The rounds end when one saves less than this share of the open bins.
 LEAST_GAIN = 0.002
-# Words whose ids a worker remembers.
-WORDS_KEPT = 800_000
+# Words whose ids a worker remembers, and keeps for its later tasks; they take some 170 bytes each.
+WORDS_KEPT = 200_000
 # Words encoded in one go.
 ENCODED_WORDS = 1000
 MARKS = string.punctuation
@@ -128,6 +128,7 @@ class WordEncoder:
 
 
 def _pieces(path: str, capacity: int, end_id: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = worker_cache(("packing", path), lambda: WordEncoder(path)), np.array([end_id], "<u4").tobytes()
         for batch in slices(batches, 1000):
@@ -187,6 +188,7 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
 
 def _round(level: int, capacity: int, group: int):
     """Items ``item, length`` to ``item, bin, offset, fill``; bin numbers hold the round and the task."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = (level << 58) | (TaskContext.get().partitionId() << 34)
         waiting: list[pa.RecordBatch] = []

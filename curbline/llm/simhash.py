@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import numbered_rows, restored, row_order, schema_with
+from curbline.llm.common import lean, numbered_rows, restored, row_order, schema_with
 from curbline.session import stage
 
 WORDS = 3
@@ -43,6 +43,7 @@ def fingerprint(text: str, words: int = WORDS, seed: int = SEED) -> int:
 
 
 def _fingerprints(words: int, seed: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes = np.array([fingerprint(t, words, seed) for t in batch.column("text").to_pylist()], np.uint64)
@@ -165,6 +166,7 @@ def _links(distance: int):
         return pa.RecordBatch.from_arrays([pa.array(codes[linked].view(np.int64)), pa.array(codes[labels[linked]].view(np.int64))],
                                           ["code", "other"])
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, codes = np.zeros(0, np.int64), np.zeros(0, np.uint64)
         for batch in batches:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import restored, schema_with, text_rows
+from curbline.llm.common import lean, restored, schema_with, text_rows
 from curbline.session import stage
 
 # Labelled rows used at most: patterns, weights and calibration are fitted on those with the least hash of their id.
@@ -113,6 +113,9 @@ def targets() -> Transducer:
 
 GRAMMAR = compose(compose(negation(), reported_speech(), TAGS), targets(), TAGS)
 _EVENT_OF = {"I": 0, "a": 1, "n": 2, "r": 3, "t": 4}
+# What words are tagged with that are no insults; all of a class share one pair.
+_CLASSES = [((tag, 0.0), words) for tag, words in (("H", THREATS), ("T", TARGETS), ("N", NEGATIONS), ("R", REPORTS), ("Q", QUOTES))]
+_OTHER = ("o", 0.0)
 
 
 class Lexicon:
@@ -131,8 +134,7 @@ class Lexicon:
             if weight > 0:
                 found = ("I", weight)
             else:
-                found = (next((tag for tag, words in (("H", THREATS), ("T", TARGETS), ("N", NEGATIONS), ("R", REPORTS), ("Q", QUOTES))
-                               if word in words), "o"), 0.0)
+                found = next((tagged for tagged, words in _CLASSES if word in words), _OTHER)
             if len(self.known) < WORDS_KEPT:
                 self.known[word] = found
         return found
@@ -170,6 +172,7 @@ class Model:
         return 1.0 / (1.0 + math.exp(-max(-500.0, min(500.0, odds))))
 
 
+@lean
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows ``text, toxic`` to ``word, toxic, rows``, summed over each batch; a text counts once for a word."""
     for whole in batches:
@@ -198,6 +201,7 @@ def pattern_counts(held: DataFrame) -> DataFrame:
 
 def _occurrences(patterns: frozenset[str]):
     """Which patterns a row holds, each with a hash of the words around its first place."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, found, around = [], [], []
@@ -260,6 +264,7 @@ def fit_events(found: np.ndarray, toxic: np.ndarray) -> tuple[float, list[float]
 
 
 def _events_of(patterns: dict[str, float]):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(patterns)
         for batch in batches:
@@ -296,6 +301,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
 
 
 def _scored(model: Model):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(model.patterns)
         for batch in batches:
